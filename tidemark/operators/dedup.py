@@ -63,28 +63,30 @@ def _unpack(df: DataFrame, kept: Column, columns: list[str], key: str,
 
 
 def accepted_within_ttl(deliveries: DataFrame, order: list[str], ttl: float = DAY_SECONDS,
-                        key: str = "message_id",
-                        split_rows: int = TTL_SPLIT_ROWS) -> DataFrame:
+                        key: str = "message_id", split_rows: int = TTL_SPLIT_ROWS,
+                        ts: str | None = None) -> DataFrame:
     """Deliveries accepted when an id is remembered for ``ttl`` seconds.
 
     The time counts from the accepted delivery and a duplicate does not extend it; a
     delivery exactly at expiry is accepted.  ``order`` is the timestamp and a number
-    that breaks ties.  Batch, exact.  The copies of an ordinary id are folded in one
+    that breaks ties, unless ``ts`` names the timestamp.  Batch, exact.  The copies of an ordinary id are folded in one
     short array; an id above ``split_rows`` copies goes through ``_accepted_hot``.
     """
+    ts = ts or order[0]
     chunked = chunk_hot(deliveries, [key], order, split_rows)
     columns = deliveries.columns
     if chunked is None:
         cold = _copies(deliveries, [key], order)
-        return _unpack(cold, _fold(F.col("_copies"), order[0], ttl), columns, key, order)
+        return _unpack(cold, _fold(F.col("_copies"), ts, ttl), columns, key, order)
     rows, _ = chunked
     cold = _copies(rows.where(F.col("_chunk") < 0).drop("_chunk"), [key], order)
-    accepted = _unpack(cold, _fold(F.col("_copies"), order[0], ttl), columns, key, order)
-    hot = _accepted_hot(rows.where(F.col("_chunk") >= 0), order, ttl, key)
+    accepted = _unpack(cold, _fold(F.col("_copies"), ts, ttl), columns, key, order)
+    hot = _accepted_hot(rows.where(F.col("_chunk") >= 0), order, ttl, key, ts)
     return accepted.unionByName(_unpack(hot, F.col("_kept"), columns, key, order))
 
 
-def _accepted_hot(rows: DataFrame, order: list[str], ttl: float, key: str) -> DataFrame:
+def _accepted_hot(rows: DataFrame, order: list[str], ttl: float, key: str,
+                  ts: str) -> DataFrame:
     """Fold the chunks of hot ids in parallel until their hand-over times agree.
 
     A chunk starts from the expiry time handed over by the chunks before it.  The
@@ -93,7 +95,6 @@ def _accepted_hot(rows: DataFrame, order: list[str], ttl: float, key: str) -> Da
     chunk is right one round after its predecessor, so the loop ends with the exact
     answer; usually it takes a few rounds, since a wrong start soon falls in step.
     """
-    ts = order[0]
     cells = durable(_copies(rows, [key, "_chunk"], order))
     handed = None
     while True:

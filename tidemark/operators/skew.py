@@ -108,7 +108,7 @@ def chunk_hot(df: DataFrame, keys: list[str], order: list[str],
               split_rows: int = SPLIT_ROWS) -> tuple[DataFrame, int] | None:
     """Add ``_chunk``: -1 for ordinary keys, else an index that grows with ``order``.
 
-    ``order`` is one or two columns, unique within a key; timestamps or numbers.
+    ``order`` is unique within a key; its first two columns are timestamps or numbers.
     The cut points are quantiles of the hot rows.  A single order value that is so
     frequent that no cut falls inside it is cut along the second column.
     Returns the rows and a bound on the number of (key, chunk) pairs, or None when
