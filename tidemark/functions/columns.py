@@ -35,9 +35,13 @@ def from_epoch_millis(ms: str | Column) -> Column:
 
 
 def seconds(n: float | int | Column) -> Column:
-    """Day-time interval of ``n`` seconds; keeps a zone-less timestamp zone-less."""
-    value = n if isinstance(n, Column) else F.lit(n)
-    return F.make_dt_interval(secs=value.cast("decimal(18,6)"))
+    """Day-time interval of ``n`` seconds; keeps a zone-less timestamp zone-less.
+
+    A number becomes a literal, which stream joins need to derive their watermark.
+    """
+    if isinstance(n, Column):
+        return F.make_dt_interval(secs=n.cast("decimal(18,6)"))
+    return F.expr(f"INTERVAL '{n}' SECOND")
 
 
 def parse_iso(text: str | Column) -> Column:

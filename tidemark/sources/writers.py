@@ -9,10 +9,15 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.columns import frame
 
 
+# Written in full: the default keeps milliseconds only.
+_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+          "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def encode_json(df: DataFrame, key: str) -> DataFrame:
     """``key`` and JSON ``value`` columns."""
     return df.select(F.col(key).cast("string").alias("key"),
-                     F.to_json(F.struct(*df.columns)).alias("value"))
+                     F.to_json(F.struct(*df.columns), _TIMES).alias("value"))
 
 
 def encode_avro(df: DataFrame, key: str, schema_id: int, schema: str) -> DataFrame:

@@ -88,7 +88,7 @@ def retry_flow(where: RetryTables, schema: T.StructType, failing: Column,
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         last, now = _clock(spark, where.clock, batch_id, lambda: clock(batch))
-        tables.create(spark, where.retry, parked)
+        tables.create(spark, where.retry, parked, ("due_hour",))
         hours = F.col("due_hour").between(int(last.timestamp() // 3600),
                                           int(now.timestamp() // 3600))
         due = tables.read(spark, where.retry, parked, before=batch_id).where(

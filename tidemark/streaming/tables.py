@@ -13,13 +13,15 @@ from pyspark.sql import types as T
 BATCH = "batch_id"
 
 
-def create(spark: SparkSession, path: str, schema: T.StructType) -> None:
+def create(spark: SparkSession, path: str, schema: T.StructType,
+           partition_by: tuple[str, ...] = ()) -> None:
     """Make the table readable before its first batch."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/{BATCH}=-1")
+    put(spark.createDataFrame([], schema), path, -1, partition_by, "ignore")
 
 
-def put(df: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
-    writer = df.write.mode("overwrite")
+def put(df: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = (),
+        mode: str = "overwrite") -> None:
+    writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/{BATCH}={batch_id}")
