@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import dedup_id, money_sum, seconds
-from tidemark.operators.skew import SPLIT_ROWS, chunk_hot, running, running_count
+from tidemark.functions.columns import dedup_id, epoch_micros, money_sum
+from tidemark.operators.skew import (BROADCAST_ROWS, SPLIT_ROWS, chunk_hot, previous, running,
+                                     running_chunked, running_count, running_max,
+                                     running_plain, running_sum, same_keys)
 from tidemark.session import durable
 
 DAY_SECONDS = 86_400
 FIFO_SECONDS = 300
-TTL_SPLIT_ROWS = 100_000
 
 
 def first_deliveries(deliveries: DataFrame, order: list[str],
@@ -38,91 +39,122 @@ def duplicate_deliveries(deliveries: DataFrame, order: list[str], key: str = "me
         .where(F.col("delivery_ordinal") > 1)
 
 
-def _fold(copies: Column, ts: str, ttl: float) -> Column:
-    """Accepted elements of a time-ordered array: each at least ``ttl`` after the last."""
-    start = F.slice(copies, 1, 1)
-    return F.aggregate(
-        F.slice(copies, 2, F.greatest(F.size(copies) - 1, F.lit(0))), start,
-        lambda kept, c: F.when(
-            (F.size(kept) == 0) | (c[ts] >= F.element_at(kept, -1)[ts] + seconds(ttl)),
-            F.concat(kept, F.array(c))).otherwise(kept))
-
-
-def _copies(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*order, F.struct(*rest).alias("_rest")) if rest else F.struct(*order)
-    return df.groupBy(*keys).agg(F.array_sort(F.collect_list(packed)).alias("_copies"))
-
-
-def _unpack(df: DataFrame, kept: Column, columns: list[str], key: str,
-            order: list[str]) -> DataFrame:
-    rows = df.select(key, F.explode(kept).alias("_c"))
-    return rows.select(*[F.col(key) if c == key else
-                         F.col(f"_c.{c}") if c in order else F.col(f"_c._rest.{c}")
-                         for c in columns])
-
-
 def accepted_within_ttl(deliveries: DataFrame, order: list[str], ttl: float = DAY_SECONDS,
-                        key: str = "message_id", split_rows: int = TTL_SPLIT_ROWS,
-                        ts: str | None = None) -> DataFrame:
+                        key: str = "message_id", split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Deliveries accepted when an id is remembered for ``ttl`` seconds.
 
     The time counts from the accepted delivery and a duplicate does not extend it; a
     delivery exactly at expiry is accepted.  ``order`` is the timestamp and a number
-    that breaks ties, unless ``ts`` names the timestamp.  Batch, exact.  The copies of an ordinary id are folded in one
-    short array; an id above ``split_rows`` copies goes through ``_accepted_hot``.
+    that breaks ties.  Batch, exact.
+
+    A delivery at least ``ttl`` after the one before it is always accepted and opens a
+    stretch; those less than ``ttl`` after the opening are always rejected.  Both are
+    settled by window functions.  Only what is left, later deliveries of a stretch that
+    outlasts ``ttl``, depends on the deliveries accepted in between.
     """
-    ts = ts or order[0]
+    when, span = epoch_micros(order[0]), round(ttl * 1_000_000)
+    opens = F.col("_before").isNull() | (when >= F.col("_before") + span)
+    before = {"_before": previous(when)}
+    opened = {"_opened": running_max(F.when(opens, when))}
     chunked = chunk_hot(deliveries, [key], order, split_rows)
-    columns = deliveries.columns
     if chunked is None:
-        cold = _copies(deliveries, [key], order)
-        return _unpack(cold, _fold(F.col("_copies"), ts, ttl), columns, key, order)
-    rows, _ = chunked
-    cold = _copies(rows.where(F.col("_chunk") < 0).drop("_chunk"), [key], order)
-    accepted = _unpack(cold, _fold(F.col("_copies"), ts, ttl), columns, key, order)
-    hot = _accepted_hot(rows.where(F.col("_chunk") >= 0), order, ttl, key, ts)
-    return accepted.unionByName(_unpack(hot, F.col("_kept"), columns, key, order))
-
-
-def _accepted_hot(rows: DataFrame, order: list[str], ttl: float, key: str,
-                  ts: str) -> DataFrame:
-    """Fold the chunks of hot ids in parallel until their hand-over times agree.
-
-    A chunk starts from the expiry time handed over by the chunks before it.  The
-    first round guesses that nothing is handed over; each further round corrects the
-    chunks whose guess was wrong.  The leftmost chunk is right from the start and a
-    chunk is right one round after its predecessor, so the loop ends with the exact
-    answer; usually it takes a few rounds, since a wrong start soon falls in step.
+        seen = running_plain(deliveries, [key], order, before)
+        seen = running_plain(seen, [key], order, opened)
+    else:
+        rows, bound = chunked
+        seen = durable(running_chunked(rows, bound, [key], order, before))
+        seen = durable(running_chunked(seen, bound, [key], order, opened))
+    columns = deliveries.columns
+    accepted = seen.where(opens).select(*columns)
+    unsettled = seen.where(~opens & (when >= F.col("_opened") + span)) \
+        .select(*columns, "_opened", when.alias("_t"))
+    stretch = [key, "_opened"]
+    long = None
+    if chunked is not None:
+        unsettled = durable(unsettled)
+        long = chunk_hot(unsettled, stretch, order, split_rows)
+    if long is None:
+        return accepted.unionByName(_scan(unsettled, key, order, span).select(*columns))
+    short = _scan(long[0].where(F.col("_chunk") < 0).drop("_chunk"), key, order, span)
+    rest = long[0].where(F.col("_chunk") >= 0).drop("_chunk")
+    return accepted.unionByName(short.select(*columns)).unionByName(
+        _follow(rest, stretch, order, span, split_rows).select(*columns))
+
+
+def _scan(rows: DataFrame, key: str, order: list[str], span: int) -> DataFrame:
+    """Per stretch, accept in order what is not before the last expiry.
+
+    Rows stream through in Arrow batches, so a stretch need not fit in memory.
     """
-    cells = durable(_copies(rows, [key, "_chunk"], order))
-    handed = None
+    def accept(batches):
+        import pyarrow as pa
+
+        stretch, expiry = None, None
+        for batch in batches:
+            keep = []
+            for k, o, t in zip(*[batch.column(n).to_pylist() for n in (key, "_opened", "_t")]):
+                if stretch != (k, o):
+                    stretch, expiry = (k, o), t
+                keep.append(t >= expiry)
+                if t >= expiry:
+                    expiry = t + span
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    laid = rows.repartition(key, "_opened").sortWithinPartitions(key, "_opened", *order)
+    return laid.mapInArrow(accept, rows.schema)
+
+
+def _follow(rows: DataFrame, stretch: list[str], order: list[str], span: int,
+            split_rows: int) -> DataFrame:
+    """Accepted rows of stretches too long for one task, by pointer doubling.
+
+    Every row points to the first row that may follow it, ``span`` later.  The first
+    row of a stretch is accepted; each round extends the accepted rows along pointers
+    that then double in length, so the rounds grow with the logarithm of the number
+    of accepted rows.
+    """
+    placed = durable(running(rows, stretch, order, {"_pos": running_count()}, split_rows))
+    same = [F.col(c).alias(f"_g{i}") for i, c in enumerate(stretch)]
+    group = [f"_g{i}" for i in range(len(stretch))]
+    real = placed.select(*same, F.col("_t").alias("_at"), (F.col("_pos") * 2 + 1).alias("_tie"),
+                         "_pos", F.lit(1).alias("_real"))
+    probe = placed.select(*same, (F.col("_t") + span).alias("_at"), (F.col("_pos") * 2)
+                          .alias("_tie"), "_pos", F.lit(0).alias("_real"))
+    # Positions follow time, but a probe shares its instant with rows of any position:
+    # it counts the rows strictly before that instant, so probes sort first.
+    both = real.unionByName(probe).withColumn("_slot", F.col("_at") * 2 + F.col("_real"))
+    counted = running(both, group, ["_slot", "_tie"],
+                      {"_earlier": running_sum(F.col("_real"))}, split_rows)
+    last = placed.groupBy(*stretch).agg(F.max("_pos").alias("_last")) \
+        .select(*[F.col(c).alias(f"_l{i}") for i, c in enumerate(stretch)], "_last")
+    jump = durable(counted.where(F.col("_real") == 0)
+                   .join(F.broadcast(last) if _few(last) else last, same_keys(group, "_l"))
+                   .where(F.col("_earlier") < F.col("_last"))
+                   .select(*group, "_pos", (F.col("_earlier") + 1).alias("_to")))
+    marked = durable(placed.where(F.col("_pos") == 1).select(*same, "_pos"))
     while True:
-        if handed is None:
-            started = cells.withColumn("_from", F.lit(None).cast(cells.select(
-                F.col("_copies")[0][ts].alias("t")).schema["t"].dataType))
-        else:
-            started = cells.join(
-                handed.select(F.col(key).alias("_hk"), F.col("_chunk").alias("_hc"), "_from"),
-                F.col(key).eqNullSafe(F.col("_hk")) & (F.col("_chunk") == F.col("_hc")), "left") \
-                .drop("_hk", "_hc")
-        live = F.filter("_copies", lambda c: F.col("_from").isNull() | (c[ts] >= F.col("_from")))
-        kept = started.withColumn("_kept", _fold(live, ts, ttl))
-        ends = kept.select(key, "_chunk", "_from", F.when(
-            F.size("_kept") > 0, F.try_element_at("_kept", F.lit(-1))[ts] + seconds(ttl))
-            .alias("_until"))
-        before = Window.partitionBy(key).orderBy("_chunk") \
-            .rowsBetween(Window.unboundedPreceding, -1)
-        nxt = durable(ends.withColumn("_next", F.max("_until").over(before)))
-        wrong = nxt.where(~F.col("_from").eqNullSafe(F.col("_next"))).limit(1).count()
-        if not wrong:
-            return kept
-        handed = nxt.select(key, "_chunk", F.col("_next").alias("_from"))
+        ahead = jump.select(*[F.col(g).alias(f"_a{i}") for i, g in enumerate(group)],
+                            F.col("_pos").alias("_ap"), F.col("_to").alias("_at"))
+        reached = durable(marked.join(ahead, same_keys(group, "_a") & (
+            F.col("_pos") == F.col("_ap"))).select(*group, F.col("_at").alias("_pos")))
+        if reached.limit(1).count() == 0:
+            break
+        marked = marked.unionByName(reached)
+        jump = durable(jump.join(ahead, same_keys(group, "_a") & (F.col("_to") == F.col("_ap")))
+                       .select(*group, "_pos", F.col("_at").alias("_to")))
+    found = marked.select(*[F.col(g).alias(f"_m{i}") for i, g in enumerate(group)],
+                          F.col("_pos").alias("_mp"))
+    return placed.join(found, same_keys(stretch, "_m") & (F.col("_pos") == F.col("_mp")),
+                       "left_semi")
+
+
+def _few(table: DataFrame) -> bool:
+    return table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 
 
 def fifo_accepted(messages: DataFrame, order: list[str], body: str = "body",
                   explicit_id: str | None = None, window: float = FIFO_SECONDS,
-                  split_rows: int = TTL_SPLIT_ROWS) -> DataFrame:
+                  split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Messages let through by a five-minute queue: explicit id first, else content hash."""
     keyed = messages.withColumn("dedup_id", dedup_id(explicit_id, body))
     return accepted_within_ttl(keyed, order, window, "dedup_id", split_rows)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import money, seconds
 from tidemark.operators.skew import SPLIT_ROWS, previous, running, running_sum
+from tidemark.session import durable
 
 # The stages of the order pipeline, all of which should count the same.
 STAGES = ("placed", "inventory", "analytics", "email", "sms", "invoice")
@@ -147,8 +148,8 @@ def duration_summary(df: DataFrame, value: str, by: tuple[str, ...] = (),
 
     if not by:
         df, by = df.withColumn("_all", F.lit(0)), ("_all",)
-    freq = df.where(F.col(value).isNotNull()).groupBy(*by, value) \
-        .agg(F.count(F.lit(1)).alias("_n"))
+    freq = durable(df.where(F.col(value).isNotNull()).groupBy(*by, value)
+                   .agg(F.count(F.lit(1)).alias("_n")))
     ranked = running(freq, list(by), [value], {"_upto": running_sum(F.col("_n"))}, split_rows)
     totals = df.groupBy(*by).agg(*base)
     keyed = totals.select(*[F.col(b).alias(f"_g_{i}") for i, b in enumerate(by)],

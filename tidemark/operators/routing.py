@@ -41,7 +41,7 @@ def route(messages: DataFrame, bindings: DataFrame, keep_unroutable: bool = Fals
     one becomes literals in a projection, so that routing neither shuffles nor
     recompiles patterns; a larger one is matched against the distinct routing keys.
     """
-    prepared = bindings.select("exchange", "exchange_type", "binding_key", "queue").distinct() \
+    prepared = bindings.select("exchange", "exchange_type", "binding_key", "queue") \
         .withColumn("_regex", topic_regex("binding_key"))
     found = prepared.limit(inline_limit + 1).collect()
     if len(found) <= inline_limit:

@@ -39,7 +39,8 @@ def hot_keys(df: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS) -> Ho
 
     Counts a seeded sample of the key columns, so the check shuffles a thousandth of
     the keys at most.  It only steers the plan: a key that is missed or added by
-    chance changes how rows are grouped, never the result.
+    chance changes how rows are grouped, never the result.  Beyond ``MAX_HOT_KEYS`` the
+    hottest are returned.
     """
     fraction = min(1.0, _SAMPLED_HITS / split_rows)
     wanted = split_rows * fraction * (1.0 if fraction == 1.0 else 0.5)
@@ -47,10 +48,8 @@ def hot_keys(df: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS) -> Ho
     if fraction < 1.0:
         picked = picked.sample(fraction, seed=7)
     counts = picked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    found = counts.where(F.col("_n") > wanted).limit(MAX_HOT_KEYS + 1).collect()
-    if len(found) > MAX_HOT_KEYS:
-        total = counts.agg(F.sum("_n")).first()[0]
-        found = counts.where(F.col("_n") > math.ceil(total / MAX_HOT_KEYS)).collect()
+    found = counts.where(F.col("_n") > wanted).orderBy(F.desc("_n")) \
+        .limit(MAX_HOT_KEYS).collect()
     if not found:
         return None
     rows = [Row(*[r[k] for k in keys]) for r in found]
@@ -138,11 +137,39 @@ def chunk_hot(df: DataFrame, keys: list[str], order: list[str],
 
 @dataclass(frozen=True)
 class Running:
-    """One output of ``running``: a count, an exact sum or the previous row's value."""
+    """One output of ``running``: a count, an exact sum, a maximum or the previous value."""
 
     kind: str
     source: Column | None = None
 
+    def local(self, w, rows) -> Column:
+        if self.kind == "count":
+            return F.row_number().over(w).cast("long")
+        if self.kind == "previous":
+            return F.lag(self.source).over(w)
+        return (F.sum if self.kind == "sum" else F.max)(self.source).over(rows)
+
+    def total(self, order: list[str]) -> Column:
+        """What a whole chunk contributes to the chunks after it."""
+        if self.kind == "count":
+            return F.count(F.lit(1))
+        if self.kind == "previous":
+            return F.max_by(F.struct(self.source.alias("v")), F.struct(*order))
+        return (F.sum if self.kind == "sum" else F.max)(self.source)
+
+    def carried(self, total: str, across, before) -> Column:
+        if self.kind == "previous":
+            return F.lag(total).over(across)["v"]
+        return (F.max if self.kind == "max" else F.sum)(total).over(before)
+
+    def joined(self, here: Column, prior: Column, kind: T.DataType) -> Column:
+        if self.kind == "previous":
+            return F.when(F.col("_rn") == 1, prior).otherwise(here)
+        if self.kind == "max":
+            return F.greatest(here, prior)
+        return F.when(here.isNull() | prior.isNull(), F.coalesce(here, prior)) \
+                .otherwise(here + prior).cast(kind)
+
 
 def running_count() -> Running:
     return Running("count")
@@ -152,16 +179,12 @@ def running_sum(source: Column) -> Running:
     return Running("sum", source)
 
 
-def previous(source: Column) -> Running:
-    return Running("previous", source)
+def running_max(source: Column) -> Running:
+    return Running("max", source)
 
 
-def _plain(kind: Running, w: Window, rows: Window) -> Column:
-    if kind.kind == "count":
-        return F.row_number().over(w).cast("long")
-    if kind.kind == "sum":
-        return F.sum(kind.source).over(rows)
-    return F.lag(kind.source).over(w)
+def previous(source: Column) -> Running:
+    return Running("previous", source)
 
 
 def running(df: DataFrame, keys: list[str], order: list[str], outputs: dict[str, Running],
@@ -169,47 +192,38 @@ def running(df: DataFrame, keys: list[str], order: list[str], outputs: dict[str,
     """Running values per key in ``order``, which must be unique within a key."""
     chunked = chunk_hot(df, keys, order, split_rows)
     if chunked is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        rows = w.rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[_plain(r, w, rows).alias(n) for n, r in outputs.items()])
-
-    rows_df, bound = chunked
-    totals = []
-    for name, r in outputs.items():
-        if r.kind == "count":
-            totals.append(F.count(F.lit(1)).alias(f"_c_{name}"))
-        elif r.kind == "sum":
-            totals.append(F.sum(r.source).alias(f"_c_{name}"))
-        else:
-            totals.append(F.max_by(F.struct(r.source.alias("v")), F.struct(*order))
-                          .alias(f"_c_{name}"))
-    cells = rows_df.where(F.col("_chunk") >= 0).groupBy(*keys, "_chunk").agg(*totals)
+        return running_plain(df, keys, order, outputs)
+    rows, bound = chunked
+    return running_chunked(rows, bound, keys, order, outputs).drop("_chunk")
+
+
+def running_plain(df: DataFrame, keys: list[str], order: list[str],
+                  outputs: dict[str, Running]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order)
+    rows = w.rowsBetween(Window.unboundedPreceding, 0)
+    return df.select("*", *[r.local(w, rows).alias(n) for n, r in outputs.items()])
+
+
+def running_chunked(df: DataFrame, bound: int, keys: list[str], order: list[str],
+                    outputs: dict[str, Running]) -> DataFrame:
+    """``running`` over rows that ``chunk_hot`` has marked."""
+    cells = df.where(F.col("_chunk") >= 0).groupBy(*keys, "_chunk").agg(
+        *[r.total(order).alias(f"_c_{n}") for n, r in outputs.items()])
     across = Window.partitionBy(*keys).orderBy("_chunk")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    carried = [F.lag(f"_c_{n}").over(across)["v"] if r.kind == "previous"
-               else F.sum(f"_c_{n}").over(before) for n, r in outputs.items()]
     carry = cells.select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)],
                          F.col("_chunk").alias("_k_chunk"),
-                         *[c.alias(f"_p_{n}") for c, n in zip(carried, outputs)])
+                         *[r.carried(f"_c_{n}", across, before).alias(f"_p_{n}")
+                           for n, r in outputs.items()])
     if bound <= BROADCAST_ROWS:
         carry = F.broadcast(carry)
 
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     rows = w.rowsBetween(Window.unboundedPreceding, 0)
-    local = rows_df.select("*", F.row_number().over(w).alias("_rn"),
-                           *[_plain(r, w, rows).alias(f"_l_{n}") for n, r in outputs.items()])
+    local = df.select("*", F.row_number().over(w).alias("_rn"),
+                      *[r.local(w, rows).alias(f"_l_{n}") for n, r in outputs.items()])
     joined = local.join(carry, same_keys(keys, "_k_") & (F.col("_chunk") == F.col("_k_chunk")),
                         "left")
-    final = []
-    for name, r in outputs.items():
-        here, prior = F.col(f"_l_{name}"), F.col(f"_p_{name}")
-        if r.kind == "previous":
-            value = F.when(F.col("_rn") == 1, prior).otherwise(here)
-        elif r.kind == "count":
-            value = here + F.coalesce(prior, F.lit(0))
-        else:
-            kind = df.select(F.sum(r.source).alias("s")).schema["s"].dataType
-            value = F.when(here.isNull() | prior.isNull(), F.coalesce(here, prior)) \
-                     .otherwise(here + prior).cast(kind)
-        final.append(value.alias(name))
-    return joined.select(*df.columns, *final)
+    return joined.select(*df.columns, *[
+        r.joined(F.col(f"_l_{n}"), F.col(f"_p_{n}"), local.schema[f"_l_{n}"].dataType).alias(n)
+        for n, r in outputs.items()])

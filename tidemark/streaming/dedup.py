@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import dedup_id, seconds
-from tidemark.operators.dedup import (DAY_SECONDS, FIFO_SECONDS, TTL_SPLIT_ROWS,
-                                      accepted_within_ttl, first_deliveries)
+from tidemark.operators.dedup import (DAY_SECONDS, FIFO_SECONDS, accepted_within_ttl,
+                                      first_deliveries)
+from tidemark.operators.skew import SPLIT_ROWS
 from tidemark.streaming import tables
 from tidemark.streaming.sinks import BatchWriter
 
@@ -44,11 +45,13 @@ def accept_once(path: str, schema: T.StructType, order: list[str],
 
 def accept_within_ttl(path: str, schema: T.StructType, order: list[str],
                       ttl: float = DAY_SECONDS, key: str = "message_id",
-                      split_rows: int = TTL_SPLIT_ROWS) -> BatchWriter:
+                      split_rows: int = SPLIT_ROWS) -> BatchWriter:
     """Accept an id again once ``ttl`` has passed since it was last accepted.
 
-    Each batch is folded after the rows accepted earlier that can still matter: those
-    of its own ids, no older than ``ttl`` before its first row.
+    Rows that an earlier batch still rules out are removed first; only the accepted
+    rows no older than ``ttl`` before the batch can do that.  The others are folded
+    among themselves.  A row that arrives behind an accepted one of its id is a
+    duplicate of it.
     """
     ts, names = order[0], schema.fieldNames()
 
@@ -59,12 +62,13 @@ def accept_within_ttl(path: str, schema: T.StructType, order: list[str],
         if first is None:
             return batch
         since = F.lit(first).cast(schema[ts].dataType) - seconds(ttl)
-        earlier = (tables.read(spark, path, schema, before=batch_id).where(F.col(ts) > since)
-                   .join(batch.select(key).distinct(), key, "left_semi").select(*names))
-        both = earlier.withColumn("_new", F.lit(0)).unionByName(
-            batch.withColumn("_new", F.lit(1)))
-        accepted = accepted_within_ttl(both, ["_new", *order], ttl, key, split_rows, ts=ts)
-        return accepted.where(F.col("_new") == 1).drop("_new")
+        last = (tables.read(spark, path, schema, before=batch_id).where(F.col(ts) > since)
+                .groupBy(F.col(key).alias("_key"))
+                .agg((F.max(ts) + seconds(ttl)).alias("_expires")))
+        free = F.col("_expires").isNull() | (F.col(ts) >= F.col("_expires"))
+        open_rows = batch.join(last, F.col(key).eqNullSafe(F.col("_key")), "left") \
+            .where(free).select(*names)
+        return accepted_within_ttl(open_rows, order, ttl, key, split_rows)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         batch = batch.select(*names).persist()
