@@ -15,27 +15,33 @@ def orders_per_customer(orders: DataFrame, key: str = "customer_id") -> DataFram
             .agg(F.count(F.lit(1)).alias("order_count")))
 
 
-def revenue_windows(orders: DataFrame, size: str = "1 minute", slide: str | None = None,
-                    by: tuple[str, ...] = (), statuses: tuple[str, ...] | None = None,
-                    ts: str = "created_at", grace: str = "0 seconds") -> DataFrame:
-    """Revenue and order count per time window, over all states unless told otherwise.
+def windowed(events: DataFrame, aggregates: dict[str, Column], size: str = "1 minute",
+             slide: str | None = None, by: tuple[str, ...] = (), ts: str = "created_at",
+             grace: str = "0 seconds") -> DataFrame:
+    """Any aggregate expressions per time window, and per ``by`` within it.
 
     Without ``slide`` the windows tumble.  There is no artificial grouping key, so
     partial aggregation spreads even a single window over all tasks.  On a stream
     rows later than ``grace`` are dropped; write in ``update`` mode for a row per
     change or in ``append`` mode for closed windows only.
     """
-    if statuses is not None:
-        orders = orders.where(F.col("status").isin(*statuses))
-    if orders.isStreaming:
-        orders = orders.withWatermark(ts, grace)
+    if events.isStreaming:
+        events = events.withWatermark(ts, grace)
     window = F.window(ts, size, slide) if slide else F.window(ts, size)
-    return (orders.groupBy(window.alias("window"), *by)
-            .agg(money_sum("amount").alias("total_revenue"),
-                 F.count(F.lit(1)).alias("order_count"))
+    return (events.groupBy(window.alias("window"), *by)
+            .agg(*[a.alias(n) for n, a in aggregates.items()])
             .select(F.col("window.start").alias("window_start"),
-                    F.col("window.end").alias("window_end"),
-                    *by, "total_revenue", "order_count"))
+                    F.col("window.end").alias("window_end"), *by, *aggregates))
+
+
+def revenue_windows(orders: DataFrame, size: str = "1 minute", slide: str | None = None,
+                    by: tuple[str, ...] = (), statuses: tuple[str, ...] | None = None,
+                    ts: str = "created_at", grace: str = "0 seconds") -> DataFrame:
+    """Revenue and order count per window, over all states unless told otherwise."""
+    if statuses is not None:
+        orders = orders.where(F.col("status").isin(*statuses))
+    return windowed(orders, {"total_revenue": money_sum("amount"),
+                             "order_count": F.count(F.lit(1))}, size, slide, by, ts, grace)
 
 
 def revenue_records(windows: DataFrame) -> DataFrame:

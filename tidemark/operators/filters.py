@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import col, item_list, seconds
 
 
+def keep(df: DataFrame, predicate: Column) -> DataFrame:
+    """Rows for which the predicate holds; unknown counts as no."""
+    return df.where(predicate)
+
+
 def with_status(orders: DataFrame, status: str = "PLACED") -> DataFrame:
     """Orders in exactly this state; a missing state never passes."""
-    return orders.where(F.col("status") == status)
+    return keep(orders, F.col("status") == status)
 
 
 def stock_actions(orders: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import epoch_micros, seconds
-from tidemark.operators.skew import SPLIT_ROWS, flag_hot, hot_keys, union_hot
+from tidemark.operators.skew import SPLIT_ROWS, flag_hot, hot_keys, hot_keys_of
 
 JOIN_SECONDS = 30
 
@@ -35,8 +35,7 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
         return left.join(right, on & in_time, "left_outer" if how == "left" else how) \
                    .drop("_right_key")
 
-    hot = union_hot(hot_keys(left, [key], split_rows),
-                    hot_keys(right, ["_right_key"], split_rows))
+    hot = hot_keys_of([left.select(key), right.select("_right_key")], split_rows)
     if hot is None:
         return left.join(right, on & in_time, how).drop("_right_key")
 

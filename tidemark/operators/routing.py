@@ -59,9 +59,15 @@ def _route_inline(messages: DataFrame, found: list, keep_unroutable: bool) -> Da
         by_queue.setdefault(b["queue"], []).append(_inline_match(b, subject))
     hits = [F.when(reduce(lambda x, y: x | y, conds), F.lit(q))
             for q, conds in sorted(by_queue.items())]
-    queues = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
-    burst = F.explode_outer if keep_unroutable else F.explode
-    return messages.select("*", burst(queues).alias("queue"))
+    return _burst(messages, hits, keep_unroutable)
+
+
+def _burst(messages: DataFrame, hits: list[Column], keep_unroutable: bool = False) -> DataFrame:
+    """One row per non-null hit."""
+    queues = F.array(*hits) if hits else F.array().cast("array<string>")
+    if keep_unroutable:
+        return messages.select("*", F.explode_outer(F.array_compact(queues)).alias("queue"))
+    return messages.select("*", F.explode(queues).alias("queue")).where(F.col("queue").isNotNull())
 
 
 def _route_joined(messages: DataFrame, prepared: DataFrame, keep_unroutable: bool,
@@ -124,8 +130,7 @@ def route_by_headers(messages: DataFrame, bindings: DataFrame,
         by_queue.setdefault(b["queue"], []).append((F.col("exchange") == b["exchange"]) & cond)
     hits = [F.when(reduce(lambda x, y: x | y, conds), F.lit(q))
             for q, conds in sorted(by_queue.items())]
-    queues = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
-    return messages.select("*", F.explode(queues).alias("queue"))
+    return _burst(messages, hits)
 
 
 def _route_headers_joined(messages: DataFrame, bindings: DataFrame) -> DataFrame:

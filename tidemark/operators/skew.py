@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,33 +35,36 @@ class HotKeys:
 
 
 def hot_keys(df: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS) -> HotKeys | None:
-    """Keys that hold more than about ``split_rows`` rows, or None.
+    """Keys that hold more than about ``split_rows`` rows, or None."""
+    return hot_keys_of([df.select(*keys)], split_rows)
 
-    Counts a seeded sample of the key columns, so the check shuffles a thousandth of
-    the keys at most.  It only steers the plan: a key that is missed or added by
+
+def hot_keys_of(sides: list[DataFrame], split_rows: int = SPLIT_ROWS) -> HotKeys | None:
+    """Keys that are hot in at least one of several tables with the same key columns.
+
+    Counts a seeded sample of the keys in one job, so the check shuffles a thousandth
+    of the keys at most.  It only steers the plan: a key that is missed or added by
     chance changes how rows are grouped, never the result.  Beyond ``MAX_HOT_KEYS`` the
     hottest are returned.
     """
     fraction = min(1.0, _SAMPLED_HITS / split_rows)
     wanted = split_rows * fraction * (1.0 if fraction == 1.0 else 0.5)
-    picked = df.select(*keys)
+    width = len(sides[0].columns)
+    names = [f"_hot_{i}" for i in range(width)]
+    picked = [side.toDF(*names).withColumn("_side", F.lit(i)) for i, side in enumerate(sides)]
     if fraction < 1.0:
-        picked = picked.sample(fraction, seed=7)
-    counts = picked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        picked = [p.sample(fraction, seed=7) for p in picked]
+    counts = reduce(DataFrame.union, picked).groupBy(*names, "_side") \
+        .agg(F.count(F.lit(1)).alias("_n"))
     found = counts.where(F.col("_n") > wanted).orderBy(F.desc("_n")) \
         .limit(MAX_HOT_KEYS).collect()
     if not found:
         return None
-    rows = [Row(*[r[k] for k in keys]) for r in found]
-    table = df.sparkSession.createDataFrame(rows, T.StructType([
-        T.StructField(f"_hot_{i}", df.schema[k].dataType) for i, k in enumerate(keys)]))
-    return HotKeys(table, len(found), int(sum(r["_n"] for r in found) / fraction))
-
-
-def union_hot(a: HotKeys | None, b: HotKeys | None) -> HotKeys | None:
-    if a is None or b is None:
-        return a or b
-    return HotKeys(a.table.union(b.table).distinct(), a.count + b.count, a.rows + b.rows)
+    rows = {tuple(r[n] for n in names) for r in found}
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in
+                           zip(names, sides[0].schema.fields)])
+    table = sides[0].sparkSession.createDataFrame(list(rows), schema)
+    return HotKeys(table, len(rows), int(sum(r["_n"] for r in found) / fraction))
 
 
 def same_keys(keys: list[str], prefix: str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,11 @@ from tidemark.operators import (aggregates, contract, dedup, filters, joins, met
                                 routing)
 from tidemark.plans import views
 from tidemark.schemas import BASIC_ORDER
+from tidemark.session import scratch
+from tidemark.sources.readers import file_stream
+from tidemark.streaming import dedup as stream_dedup
+from tidemark.streaming import retry as stream_retry
+from tidemark.streaming import sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -512,3 +518,85 @@ def sustained_alerts(spark, sf_dir):
     rates = metrics.counter_rate(views.counter_samples(spark, sf_dir), ["event_type"],
                                  ["ts", "event_id"], 300, 60)
     return metrics.sustained_alerts(rates, ["event_type"], 0.005, 60)
+
+
+# --- the same operators on the tables as streams ---------------------------------------
+
+def _event_stream(spark, sf_dir):
+    """Events as a stream; the pattern lets one file stand for a folder of them."""
+    schema = views.table(spark, sf_dir, "events").schema
+    return file_stream(spark, f"{sf_dir}/event[s].parquet", schema)
+
+
+def _drain(stream, step, mode="append"):
+    spark = stream.sparkSession
+    sinks.start(stream, step, f"{scratch(spark)}/checkpoint", mode, every=None) \
+        .awaitTermination()
+
+
+def _local(df, *names):
+    return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names})
+
+
+@query
+def stream_orders_per_customer(spark, sf_dir):
+    counts = aggregates.orders_per_customer(views.as_orders(_event_stream(spark, sf_dir)))
+    out = scratch(spark)
+    _drain(counts, sinks.changelog(out), "update")
+    return tables.latest(spark, out, counts.schema, "customer_id")
+
+
+@query
+def stream_revenue_per_minute(spark, sf_dir):
+    windows = aggregates.revenue_windows(views.as_orders(_event_stream(spark, sf_dir)))
+    out = scratch(spark)
+    _drain(windows, sinks.changelog(out), "update")
+    return _local(tables.latest(spark, out, windows.schema, "window_start"),
+                  "window_start", "window_end")
+
+
+@query
+def stream_order_payment_inner(spark, sf_dir):
+    joined = joins.enrich_orders(views.as_orders(_event_stream(spark, sf_dir)),
+                                 views.as_payments(_event_stream(spark, sf_dir)))
+    out = scratch(spark)
+    _drain(joined, sinks.append(out))
+    return _local(tables.read(spark, out, joined.schema).drop(tables.BATCH),
+                  "order_created_at", "payment_created_at")
+
+
+@query
+def stream_first_deliveries(spark, sf_dir):
+    copies = views.as_redelivered(views.as_orders(_event_stream(spark, sf_dir)))
+    out = scratch(spark)
+    _drain(copies, stream_dedup.accept_once(out, copies.schema, DELIVERY))
+    return _local(tables.read(spark, out, copies.schema).drop(tables.BATCH), "created_at")
+
+
+@query
+def stream_dedup_ttl(spark, sf_dir):
+    copies = views.as_redelivered(views.as_orders(_event_stream(spark, sf_dir)))
+    out = scratch(spark)
+    _drain(copies, stream_dedup.accept_within_ttl(out, copies.schema, DELIVERY))
+    return _local(tables.read(spark, out, copies.schema).drop(tables.BATCH), "created_at")
+
+
+@query
+def stream_retry_outcomes(spark, sf_dir):
+    """Errors fail three times and sign-ups for ever; batches on a clock of 10 s steps."""
+    kind = F.col("event_type")
+    orders = views.order_events(spark, sf_dir).select(
+        "message_id", F.when(kind == "error", 4).when(kind == "signup", 99).otherwise(1)
+        .alias("heals_at"))
+    flow = stream_retry.RetryTables(scratch(spark))
+    ticks = iter(range(0, 60, 10))
+    step = stream_retry.retry_flow(
+        flow, orders.schema, F.col("attempt") < F.col("heals_at"),
+        clock=lambda batch: datetime.fromtimestamp(next(ticks), timezone.utc))
+    step(orders, 0)
+    for batch_id in range(1, 5):
+        step(orders.where(F.lit(False)), batch_id)
+    tried = T.StructType(list(orders.schema.fields)).add("attempt", T.IntegerType())
+    ok = tables.read(spark, flow.ok, tried).withColumn("state", F.lit("OK"))
+    dead = tables.read(spark, flow.dead, tried).withColumn("state", F.lit("DEAD"))
+    return ok.unionByName(dead).drop(tables.BATCH)

@@ -373,3 +373,16 @@ ORACLE: dict[str, str] = {
             count(*) AS windows FROM breaches GROUP BY event_type, island
         HAVING max(e) >= min(e) + INTERVAL 2 MINUTES"""),
 }
+
+ORACLE.update({
+    "stream_orders_per_customer": ORACLE["orders_per_customer"],
+    "stream_revenue_per_minute": ORACLE["revenue_per_minute"],
+    "stream_order_payment_inner": ORACLE["order_payment_inner"],
+    "stream_first_deliveries": ORACLE["dedup_first_delivery"],
+    "stream_dedup_ttl": ORACLE["dedup_ttl_24h"],
+    "stream_retry_outcomes": """SELECT CAST(event_id AS VARCHAR) AS message_id,
+        CAST(CASE event_type WHEN 'error' THEN 4 WHEN 'signup' THEN 99 ELSE 1 END AS INTEGER)
+            AS heals_at,
+        CAST(CASE WHEN event_type IN ('error', 'signup') THEN 4 ELSE 1 END AS INTEGER) AS attempt,
+        CASE WHEN event_type = 'signup' THEN 'DEAD' ELSE 'OK' END AS state FROM events""",
+})

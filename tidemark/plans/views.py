@@ -68,18 +68,22 @@ def payment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_payments(table(spark, sf_dir, "events"))
 
 
-def redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_redelivered(orders: DataFrame) -> DataFrame:
     """Orders with further deliveries: errors after 5 s, purchases on both sides of a day."""
     delays = (F.when(F.col("event_type") == "error", F.array(F.lit(0), F.lit(5)))
               .when(F.col("event_type") == "purchase",
                     F.array(*[F.lit(x) for x in (0, 5, 86_399, 86_400, 90_000, 172_800)]))
               .otherwise(F.array(F.lit(0))))
-    rows = order_events(spark, sf_dir).select("*", F.posexplode(delays).alias("delivery", "_d"))
+    rows = orders.select("*", F.posexplode(delays).alias("delivery", "_d"))
     return rows.select("message_id", "order_id", "customer_id", "amount",
                        (F.col("created_at") + seconds(F.col("_d"))).alias("created_at"),
                        F.col("delivery").cast("long").alias("delivery"))
 
 
+def redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_redelivered(order_events(spark, sf_dir))
+
+
 def job_messages(spark: SparkSession, sf_dir: str, exchange: str) -> DataFrame:
     key = _by_type(purchase="order.placed", view="order.item.viewed", click="payment.success",
                    error="payment.failed", signup="inventory.low")
@@ -157,11 +161,11 @@ def stage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             ("email", kind != "error"), ("sms", ~kind.isin("error", "click")),
             ("invoice", kind.isin("purchase", "view", "signup")),
             ("duplicates", kind == "error")]
-    stages = F.array_compact(F.array(*[
-        F.when(cond, F.struct(F.lit(name).alias("stage"), F.lit(i).alias("lag")))
-        for i, (name, cond) in enumerate(seen)]))
+    stages = F.array(*[F.when(cond, F.struct(F.lit(name).alias("stage"), F.lit(i).alias("lag")))
+                       for i, (name, cond) in enumerate(seen)])
     return (order_events(spark, sf_dir)
             .select("message_id", "created_at", F.explode(stages).alias("s"))
+            .where(F.col("s").isNotNull())
             .select("s.stage", "message_id",
                     (F.col("created_at") + seconds(F.col("s.lag"))).alias("ts")))
 

@@ -31,22 +31,27 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage: write the rows to a table in the shared folder and read them back.
+def scratch(spark: SparkSession) -> str:
+    """A new name in the shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    A written table survives lost executors and, unlike a checkpointed plan, comes
-    back with its real size, which the planner needs in loops.  The folder is the one
-    the cluster names in ``spark.checkpoint.dir``.  A local session without one gets
-    a temporary folder; a cluster without one is an error, because a machine-local
-    folder would be lost with its machine.
+    A local session without one gets a temporary folder; a cluster without one is an
+    error, because a machine-local folder would be lost with its machine.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir")
         if named is None and not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-"))
-    path = f"{sc.getCheckpointDir()}/table-{uuid.uuid4()}"
+    return f"{sc.getCheckpointDir()}/table-{uuid.uuid4()}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut lineage: write the rows to a table in the shared folder and read them back.
+
+    A written table survives lost executors and, unlike a checkpointed plan, comes
+    back with its real size, which the planner needs in loops.
+    """
+    path = scratch(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
