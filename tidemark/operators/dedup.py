@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import dedup_id, epoch_micros, money_sum
@@ -52,27 +52,47 @@ def accepted_within_ttl(deliveries: DataFrame, order: list[str], ttl: float = DA
     settled by window functions.  Only what is left, later deliveries of a stretch that
     outlasts ``ttl``, depends on the deliveries accepted in between.
     """
-    when, span = epoch_micros(order[0]), round(ttl * 1_000_000)
-    opens = F.col("_before").isNull() | (when >= F.col("_before") + span)
-    before = {"_before": previous(when)}
-    opened = {"_opened": running_max(F.when(opens, when))}
+    span = round(ttl * 1_000_000)
     chunked = chunk_hot(deliveries, [key], order, split_rows)
     if chunked is None:
-        seen = running_plain(deliveries, [key], order, before)
-        seen = running_plain(seen, [key], order, opened)
-    else:
-        rows, bound = chunked
-        seen = durable(running_chunked(rows, bound, [key], order, before))
-        seen = durable(running_chunked(seen, bound, [key], order, opened))
-    columns = deliveries.columns
-    accepted = seen.where(opens).select(*columns)
-    unsettled = seen.where(~opens & (when >= F.col("_opened") + span)) \
+        return _accepted_plain(deliveries, key, order, span)
+    rows, bound = chunked
+    cold = rows.where(F.col("_chunk") < 0).drop("_chunk")
+    hot = rows.where(F.col("_chunk") >= 0)
+    return _accepted_plain(cold, key, order, span).unionByName(
+        _accepted_hot(hot, bound, key, order, span, split_rows))
+
+
+def _outputs(when: Column, span: int) -> tuple[Column, dict, dict]:
+    opens = F.col("_before").isNull() | (when >= F.col("_before") + span)
+    return opens, {"_before": previous(when)}, {"_opened": running_max(F.when(opens, when))}
+
+
+def _unsettled(seen: DataFrame, columns: list[str], opens: Column, when: Column,
+               span: int) -> DataFrame:
+    return seen.where(~opens & (when >= F.col("_opened") + span)) \
         .select(*columns, "_opened", when.alias("_t"))
+
+
+def _accepted_plain(rows: DataFrame, key: str, order: list[str], span: int) -> DataFrame:
+    columns, when = rows.columns, epoch_micros(order[0])
+    opens, before, opened = _outputs(when, span)
+    seen = running_plain(running_plain(rows, [key], order, before), [key], order, opened)
+    late = _scan(_unsettled(seen, columns, opens, when, span), key, order, span)
+    return seen.where(opens).select(*columns).unionByName(late.select(*columns))
+
+
+def _accepted_hot(rows: DataFrame, bound: int, key: str, order: list[str], span: int,
+                  split_rows: int) -> DataFrame:
+    """The same for ids that are cut into chunks; every stage is written down once."""
+    columns, when = [c for c in rows.columns if c != "_chunk"], epoch_micros(order[0])
+    opens, before, opened = _outputs(when, span)
+    seen = durable(running_chunked(rows, bound, [key], order, before))
+    seen = durable(running_chunked(seen, bound, [key], order, opened))
+    accepted = seen.where(opens).select(*columns)
+    unsettled = durable(_unsettled(seen, columns, opens, when, span))
     stretch = [key, "_opened"]
-    long = None
-    if chunked is not None:
-        unsettled = durable(unsettled)
-        long = chunk_hot(unsettled, stretch, order, split_rows)
+    long = chunk_hot(unsettled, stretch, order, split_rows)
     if long is None:
         return accepted.unionByName(_scan(unsettled, key, order, span).select(*columns))
     short = _scan(long[0].where(F.col("_chunk") < 0).drop("_chunk"), key, order, span)

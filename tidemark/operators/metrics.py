@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import money, seconds
+from tidemark.functions.columns import epoch_micros, money, seconds
 from tidemark.operators.skew import SPLIT_ROWS, previous, running, running_sum
 from tidemark.session import durable
 
@@ -41,14 +41,14 @@ def stage_reconciliation(stage_events: DataFrame, stages: tuple[str, ...] = STAG
 
 def throughput_change(throughput: DataFrame, period_seconds: int = 86_400,
                       by: tuple[str, ...] = ("stage",)) -> DataFrame:
-    """Each window beside the same window one period earlier."""
-    past = throughput.select(*[F.col(b).alias(f"_{b}") for b in by],
-                             (F.col("window_start") + seconds(period_seconds)).alias("_start"),
-                             F.col("events").alias("events_before"))
-    on = F.col("window_start") == F.col("_start")
-    for b in by:
-        on = on & F.col(b).eqNullSafe(F.col(f"_{b}"))
-    return (throughput.join(past, on, "left")
+    """Each window beside the same window one period earlier; null where there was none.
+
+    Works on aggregated windows, so a stage has at most one row per window size, and a
+    range frame finds the earlier row without a self-join.
+    """
+    back = -period_seconds * 1_000_000
+    w = Window.partitionBy(*by).orderBy(epoch_micros("window_start")).rangeBetween(back, back)
+    return (throughput.withColumn("events_before", F.sum("events").over(w))
             .select("window_start", *by, "events", "events_before",
                     (F.col("events") / F.col("events_before")).alias("ratio")))
 
