@@ -112,6 +112,9 @@ def test_interval_join_of_hot_keys(spark, how, include_end):
                                 "key string, lt timestamp_ntz, l int")
     rdf = spark.createDataFrame([(k, T0 + timedelta(seconds=t), i) for k, t, i in right],
                                 "key string, rt timestamp_ntz, r int")
+    ldf = ldf.unionByName(ldf.limit(1).select(F.lit(None).cast("string").alias("key"), "lt",
+                                              F.lit(-1).alias("l")))
+    left.append((None, 0, -1))
     out = joins.interval_join(ldf, rdf, "key", "lt", "rt", 20, 7, how, include_end, split_rows=50)
     pairs = [(a[2], b[2]) for a in left for b in right if a[0] == b[0]
              and a[1] - 20 <= b[1] and (b[1] <= a[1] + 7 if include_end else b[1] < a[1] + 7)]
@@ -127,6 +130,19 @@ def test_interval_join_of_hot_keys(spark, how, include_end):
         assert sorted(r.l for r in out.collect()) == want
 
 
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+def test_interval_existence_in_a_burst(spark, how):
+    ldf = spark.createDataFrame([(None if i % 2 else "hot", T0 + timedelta(seconds=i // 100), i)
+                                 for i in range(400)], "key string, lt timestamp_ntz, l int")
+    rdf = spark.createDataFrame([("hot", T0 + timedelta(seconds=2))] * 200
+                                + [(None, T0)] * 200, "key string, rt timestamp_ntz")
+    out = joins.interval_join(ldf, rdf, "key", "lt", "rt", 0, 1, how, split_rows=50)
+    assert out.columns == ldf.columns
+    hits = {i for i in range(400) if i % 2 == 0 and 1 <= i // 100 <= 2}
+    want = hits if how == "left_semi" else set(range(400)) - hits
+    assert {r.l for r in out.collect()} == want and out.count() == len(want)
+
+
 def test_membership_with_a_hot_processed_id(spark):
     seen = spark.createDataFrame([("a",)] * 60 + [("b",), ("c",)], "message_id string")
     sent = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("d", 4), (None, 5)],

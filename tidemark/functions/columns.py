@@ -13,7 +13,10 @@ def col(c: str | Column) -> Column:
 
 
 def money(amount: str | Column, scale: int = 2) -> Column:
-    """Exact money value; sums of it do not depend on row order."""
+    """Exact value of an amount with at most ``scale`` decimals.
+
+    Sums of it do not depend on row order, which sums of doubles do.
+    """
     return col(amount).cast(f"decimal(18,{scale})")
 
 

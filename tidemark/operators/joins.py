@@ -4,23 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.columns import epoch_micros, seconds
-from tidemark.operators.skew import SPLIT_ROWS, flag_hot, hot_keys, hot_keys_of
+from tidemark.operators.skew import (SPLIT_ROWS, flag_hot, hot_keys, hot_keys_of, running,
+                                     running_max)
 
 JOIN_SECONDS = 30
+# Lower than for windows: within a key the bound is checked pair by pair.
+JOIN_SPLIT_ROWS = 100_000
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
                   before: int = JOIN_SECONDS, after: int = JOIN_SECONDS, how: str = "inner",
-                  include_end: bool = True, split_rows: int = SPLIT_ROWS) -> DataFrame:
+                  include_end: bool = True, split_rows: int = JOIN_SPLIT_ROWS) -> DataFrame:
     """Pairs with equal ``key`` and ``left_ts - before <= right_ts <= left_ts + after``.
 
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.  Columns other
     than the key must have distinct names.  In batch, keys that are hot on either
     side are also joined on a time slot as wide as the bound, so that such a key is
     spread over tasks; every left row keeps one slot and every right row is offered
-    to its own and the two neighbouring slots.  On a stream both sides get a
+    to its own and the two neighbouring slots.  Semi and anti joins of hot keys look
+    up the next right row instead, without forming pairs.  On a stream both sides get a
     watermark, and left rows without a partner come out once it has passed.
     """
     pair_ts, low = F.col(right_ts), F.col(left_ts) - seconds(before)
@@ -39,6 +44,15 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     if hot is None:
         return left.join(right, on & in_time, how).drop("_right_key")
 
+    if how in ("left_semi", "left_anti"):
+        hot_left = flag_hot(left, [key], hot)
+        hot_right = flag_hot(right, ["_right_key"], hot)
+        calm = hot_left.where(~F.col("_is_hot")).drop("_is_hot").join(
+            hot_right.where(~F.col("_is_hot")).drop("_is_hot"), on & in_time, how)
+        return calm.unionByName(_has_next(
+            hot_left.where("_is_hot").drop("_is_hot"), hot_right.where("_is_hot"),
+            key, left_ts, right_ts, before, after, include_end, how == "left_semi", split_rows))
+
     width = max(before, after, 1) * 1_000_000
 
     def slot(ts: str):
@@ -56,9 +70,40 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
                .drop("_right_key", "_slot", "_right_slot")
 
 
+def _has_next(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
+              before: int, after: int, include_end: bool, wanted: bool,
+              split_rows: int) -> DataFrame:
+    """Left rows for which a right row in the bound exists (or, unwanted, does not).
+
+    Both sides are put on one time line, a left row at the start of its bound.  Read
+    backwards, the latest right row seen is the next one after that start.
+    """
+    packed = F.struct(*left.columns)
+    plain = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
+    spread = F.lit(2 ** 50)
+    probes = left.select(
+        F.col(key).alias("_k"), (-(epoch_micros(left_ts) - before * 1_000_000)).alias("_back"),
+        (spread + F.pmod(F.xxhash64(*plain), spread)).alias("_tie"),
+        packed.alias("_row"))
+    marks = right.where(F.col("_right_key").isNotNull() & F.col(right_ts).isNotNull()) \
+        .groupBy(F.col("_right_key").alias("_k"),
+                 (-epoch_micros(right_ts)).alias("_back")).agg(F.lit(0).alias("_tie")) \
+        .select("_k", "_back", F.col("_tie").cast("long").alias("_tie"),
+                F.lit(None).cast(left.select(packed.alias("r")).schema["r"].dataType)
+                .alias("_row"))
+    line = probes.unionByName(marks)
+    seen = running(line, ["_k"], ["_back", "_tie"], {
+        "_next": running_max(F.when(F.col("_row").isNull(), F.col("_back")))}, split_rows)
+    reach = -F.col("_back") + (before + after) * 1_000_000
+    nxt = -F.col("_next")
+    found = F.coalesce((nxt <= reach) if include_end else (nxt < reach), F.lit(False))
+    return seen.where(F.col("_row").isNotNull() & (found if wanted else ~found)) \
+        .select("_row.*")
+
+
 def enrich_orders(orders: DataFrame, payments: DataFrame, how: str = "inner",
                   within: int = JOIN_SECONDS, joined_at: bool = False,
-                  split_rows: int = SPLIT_ROWS) -> DataFrame:
+                  split_rows: int = JOIN_SPLIT_ROWS) -> DataFrame:
     """Orders with the payments made within ``within`` seconds of them.
 
     With ``how="left"`` an order without such a payment is PENDING and its other
@@ -123,7 +168,7 @@ def stage_gaps(placed: DataFrame, stage_rows: DataFrame, key: str = "message_id"
 
 def overdue_receipts(received: DataFrame, deleted: DataFrame, visibility: int = 30,
                      key: str = "message_id", received_ts: str = "received_at",
-                     deleted_ts: str = "deleted_at", split_rows: int = SPLIT_ROWS) -> DataFrame:
+                     deleted_ts: str = "deleted_at", split_rows: int = JOIN_SPLIT_ROWS) -> DataFrame:
     """Receipts not deleted within the visibility time, which are delivered again."""
     return interval_join(received, deleted.select(key, deleted_ts), key, received_ts, deleted_ts,
                          0, visibility, "left_anti", include_end=False, split_rows=split_rows)

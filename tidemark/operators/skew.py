@@ -192,7 +192,11 @@ def previous(source: Column) -> Running:
 
 def running(df: DataFrame, keys: list[str], order: list[str], outputs: dict[str, Running],
             split_rows: int = SPLIT_ROWS) -> DataFrame:
-    """Running values per key in ``order``, which must be unique within a key."""
+    """Running values per key in ``order``, which must be unique within a key.
+
+    The check for hot keys reads the key column once when this is called; put the
+    result of an expensive plan into a table first (``session.durable``).
+    """
     chunked = chunk_hot(df, keys, order, split_rows)
     if chunked is None:
         return running_plain(df, keys, order, outputs)

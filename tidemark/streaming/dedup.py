@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import dedup_id, seconds
 from tidemark.operators.dedup import (DAY_SECONDS, FIFO_SECONDS, accepted_within_ttl,
                                       first_deliveries)
-from tidemark.operators.skew import SPLIT_ROWS
+from tidemark.operators.skew import BROADCAST_ROWS, SPLIT_ROWS
 from tidemark.streaming import tables
 from tidemark.streaming.sinks import BatchWriter
 
@@ -30,15 +30,29 @@ def drop_fifo_repeats(stream: DataFrame, body: str = "body", explicit_id: str |
     return drop_repeats(keyed, "dedup_id", ts, window)
 
 
+def _of_batch(earlier: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Earlier rows of the ids in the batch; a batch of checked size is broadcast, so that
+    the history is filtered while it is scanned instead of being shuffled."""
+    ids = batch.select(key).distinct()
+    if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    return earlier.join(ids, key, "left_semi")
+
+
 def accept_once(path: str, schema: T.StructType, order: list[str],
                 key: str = "message_id") -> BatchWriter:
     """Accept every id once and for ever; the output table is the memory."""
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         tables.create(spark, path, schema)
-        seen = tables.read(spark, path, schema, before=batch_id).select(key)
-        fresh = first_deliveries(batch, order, key).join(seen, key, "left_anti")
-        tables.put(fresh.select(*schema.fieldNames()), path, batch_id)
+        batch = batch.persist()
+        try:
+            seen = _of_batch(tables.read(spark, path, schema, before=batch_id).select(key),
+                             batch, key)
+            fresh = first_deliveries(batch, order, key).join(seen, key, "left_anti")
+            tables.put(fresh.select(*schema.fieldNames()), path, batch_id)
+        finally:
+            batch.unpersist()
 
     return step
 
@@ -62,8 +76,8 @@ def accept_within_ttl(path: str, schema: T.StructType, order: list[str],
         if first is None:
             return batch
         since = F.lit(first).cast(schema[ts].dataType) - seconds(ttl)
-        last = (tables.read(spark, path, schema, before=batch_id).where(F.col(ts) > since)
-                .groupBy(F.col(key).alias("_key"))
+        earlier = tables.read(spark, path, schema, before=batch_id).where(F.col(ts) > since)
+        last = (_of_batch(earlier, batch, key).groupBy(F.col(key).alias("_key"))
                 .agg((F.max(ts) + seconds(ttl)).alias("_expires")))
         free = F.col("_expires").isNull() | (F.col(ts) >= F.col("_expires"))
         open_rows = batch.join(last, F.col(key).eqNullSafe(F.col("_key")), "left") \
