@@ -529,9 +529,17 @@ def _event_stream(spark, sf_dir):
 
 
 def _drain(stream, step, mode="append"):
+    """Run to the end of the input; on one machine with no more state stores than cores."""
     spark = stream.sparkSession
-    sinks.start(stream, step, f"{scratch(spark)}/checkpoint", mode, every=None) \
-        .awaitTermination()
+    name = "spark.sql.shuffle.partitions"
+    set_to, sc = spark.conf.get(name), spark.sparkContext
+    if sc.master.startswith("local"):
+        spark.conf.set(name, str(min(int(set_to), sc.defaultParallelism)))
+    try:
+        sinks.start(stream, step, f"{scratch(spark)}/checkpoint", mode, every=None) \
+            .awaitTermination()
+    finally:
+        spark.conf.set(name, set_to)
 
 
 def _local(df, *names):
