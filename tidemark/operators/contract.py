@@ -46,31 +46,32 @@ def merge_versions(v1: DataFrame, v2: DataFrame, defaults: dict = V2_DEFAULTS) -
 
 def audit(raw: DataFrame, value: str, schema: T.StructType,
           symbols: tuple[str, ...] = ORDER_STATUSES, enum_field: str = "status") -> DataFrame:
-    """Silent corruption in JSON text records, in one pass.
+    """Silent corruption in JSON text records.
 
     Per expected field the records in which it is missing or null, for the enum field
-    those with an unknown symbol, and every field that should not be there.
+    those with an unknown symbol, and every field that should not be there.  The counts
+    of expected fields are one partially aggregated row; only fields that should not
+    be there become rows of their own.
     """
-    record, names = F.from_json(F.col(value), schema), schema.fieldNames()
-
-    def finding(field: Column, issue: str, bad: Column) -> Column:
-        return F.struct(field.alias("field"), F.lit(issue).alias("issue"),
-                        bad.cast("int").alias("bad"))
-
-    expected = [finding(F.lit(n), "null", F.col(f"_r.{n}").isNull()) for n in names]
+    names = schema.fieldNames()
+    checks = [(n, "null", F.col(f"_r.{n}").isNull()) for n in names]
     if enum_field in names:
-        unknown = F.coalesce(~F.col(f"_r.{enum_field}").isin(*symbols), F.lit(False))
-        expected.append(finding(F.lit(enum_field), "bad_symbol", unknown))
-    extra = F.transform(
-        F.array_except(F.coalesce(F.json_object_keys(value), F.array().cast("array<string>")),
-                       F.array(*[F.lit(n) for n in names])),
-        lambda k: finding(k, "unexpected", F.lit(1)))
-    rows = raw.select(value, record.alias("_r")) \
-        .select(F.explode(F.concat(F.array(*expected), extra)).alias("f")).select("f.*")
-    return (rows.groupBy("field", "issue")
-            .agg(F.count(F.lit(1)).alias("records"), F.sum("bad").alias("bad_records"))
-            .withColumn("share", F.when(F.col("issue") != "unexpected",
-                                        F.col("bad_records") / F.col("records"))))
+        checks.append((enum_field, "bad_symbol", ~F.col(f"_r.{enum_field}").isin(*symbols)))
+    counts = raw.select(F.from_json(F.col(value), schema).alias("_r")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(bad).alias(f"_b{i}") for i, (_, _, bad) in enumerate(checks)])
+    findings = F.array(*[
+        F.struct(F.lit(field).alias("field"), F.lit(issue).alias("issue"),
+                 F.col("_n").alias("records"), F.col(f"_b{i}").alias("bad_records"),
+                 F.try_divide(F.col(f"_b{i}"), F.col("_n")).alias("share"))
+        for i, (field, issue, _) in enumerate(checks)])
+    extra = F.array_except(F.json_object_keys(value), F.array(*[F.lit(n) for n in names]))
+    unexpected = (raw.select(F.explode(extra).alias("field")).groupBy("field")
+                  .agg(F.count(F.lit(1)).alias("records"))
+                  .select("field", F.lit("unexpected").alias("issue"), "records",
+                          F.col("records").alias("bad_records"),
+                          F.lit(None).cast("double").alias("share")))
+    return counts.select(F.inline(findings)).unionByName(unexpected)
 
 
 def decode_json(raw: DataFrame, value: str, schema: T.StructType,
