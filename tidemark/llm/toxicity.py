@@ -27,7 +27,7 @@ MAX_ROWS, MAX_FEATURES = 20_000, 4_096
 #: A feature needs so many texts.
 LEAST_TEXTS = 3
 WORDS_KEPT = 300_000
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5)
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Sets of terms that may stand for each other, by language.
 IDENTITY_TERMS = (
