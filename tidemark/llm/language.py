@@ -26,7 +26,7 @@ SWITCH_PENALTY = 8.0
 #: A language has a script if so large a share of its letters is in it.
 SCRIPT_SHARE = 0.01
 #: Distinct words that a task remembers before it starts anew.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 200_000
 #: Unicode ranges of scripts; letters elsewhere are in a script of their own.
 SCRIPTS = {
     "latin": (0x0041, 0x024F), "greek": (0x0370, 0x03FF), "cyrillic": (0x0400, 0x052F), "armenian": (0x0530, 0x058F),
@@ -227,7 +227,7 @@ def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = shared.value, Words(shared.value)
         langs = model.langs
-        for part in slices(batches, limit=12 << 20):
+        for part in slices(batches, limit=8 << 20):
             if len(known) > WORDS_KEPT:
                 known = Words(model)
             words = words_of(part)

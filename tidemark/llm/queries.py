@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, mixing, neardup, packing, quality, secrets, toxicity
-from tidemark.llm.common import id_crc, read
+from tidemark.llm import ann, language, mixing, neardup, packing, quality, secrets, token_rollup, toxicity, warc
+from tidemark.llm.common import durable, id_crc, read
+from tidemark.session import scratch
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,22 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens by source, language and tokenizer of the documents that have any.
+
+    A first batch inserts every document with an estimate. The second revises the estimates to
+    counts and deletes documents without tokens; it is delivered twice. Then batches are folded.
+    """
+    docs = read(spark, sf_dir, "documents").select("source", "lang", "text", F.ceil(F.coalesce(F.length("text"), F.lit(0)) / 4).alias("before"))
+    counts = durable(token_rollup.count_tokens(docs, {"byte_bpe_50k": packing.default_vocabulary()}))
+    rollup = token_rollup.Rollup(spark, scratch(spark))
+    rollup.commit("load", token_rollup.inserted(counts.withColumn("tokens", F.col("before"))))
+    for _ in range(2):
+        rollup.commit("count", token_rollup.revised(counts), token_rollup.deleted(counts.where("tokens = 0")))
+    rollup.compact()
+    return rollup.totals()
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 ids."""
     return packing.pack(read(spark, sf_dir, "documents"))
@@ -38,11 +55,21 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record as the archives give it back."""
+    return warc.round_trip(read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts, digest and spans."""
     return secrets.digest(secrets.find_secrets(read(spark, sf_dir, "documents")))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id 20 divides."""
+    return ann.search(read(spark, sf_dir, "embeddings"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near-duplicates of every document."""
     return neardup.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id")
@@ -55,9 +82,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_language": op1_language, "op3_packing": op3_packing,
+    "op1_language": op1_language, "op2_token_counts": op2_token_counts, "op3_packing": op3_packing,
     "op4_mixing": op4_mixing, "op5_toxicity": op5_toxicity,
-    "op7_secrets": op7_secrets,
+    "op6_warc": op6_warc, "op7_secrets": op7_secrets, "op8_neighbours": op8_neighbours,
     "op9_near_duplicates": op9_near_duplicates, "op10_quality": op10_quality,
 }
 
