@@ -161,18 +161,19 @@ def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every:
     place = F.xxhash64("vec_id", "vector")
     codes = rows.select("dim", F.pmod(place, "shards").cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                         "vec_id", "code", "length", "match", "vector")
-    queries = rows.where(asks).select("dim", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
-                                      F.pmod(place, "blocks").cast("int").alias("block"), "vec_id", "vector")
+    asked = index.where(asks).join(sizes, "dim")
+    queries = asked.select("dim", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
+                           F.pmod(place, "blocks").cast("int").alias("block"), "vec_id", "vector").toDF("dim", "shard", "block", "vec_id", "vector")
 
     def meet(group: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        asked = right.column("vec_id").to_numpy()
+        names = right.column("vec_id").to_numpy()
         if left.num_rows and right.num_rows:
             dim = group[0].as_py()
             found = scan(left.column("vec_id").to_numpy(), matrix(left.column("vector"), dim, np.float64), matrix(left.column("code"), (dim + 7) // 8, np.uint8),
-                         left.column("length").to_numpy(), left.column("match").to_numpy(), asked, matrix(right.column("vector"), dim, np.float64),
+                         left.column("length").to_numpy(), left.column("match").to_numpy(), names, matrix(right.column("vector"), dim, np.float64),
                          centres.get(dim, np.zeros(dim)), rotation(dim, seed), k)
-        return pa.table({"query_id": asked[found[0]], "vec_id": found[1], "score": found[2]})
+        return pa.table({"query_id": names[found[0]], "vec_id": found[1], "score": found[2]})
 
     keys = ["dim", "shard", "block"]
     found = codes.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, score double")

@@ -9,7 +9,7 @@ that leave a coordinate empty throw again over twice the rank.
 
 Documents with equal words are one node. Nodes that share a band are candidates: each with the
 smallest node of the band, and, where the links found so far leave a band in several classes,
-across these classes. Every candidate's similarity is computed exactly from its words.
+across these classes: as pairs in small bands, in blocks within one task in large ones. Every candidate's similarity is computed exactly from its words.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 40, 7
 #: Members that one task compares with one leader.
 CELL = 64
+#: Bands of up to so many nodes give pairs; the nodes of larger ones meet in blocks of this size.
+FEW, BLOCK = 8, 128
 WORDS_KEPT = 500_000
 
 MIX1, MIX2, GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -173,17 +175,79 @@ def sketch(df: DataFrame, weights: str, bands: int, rows: int, shingle: int) ->
     return df.mapInArrow(run, f"doc_id {kind}, text_key long, digest binary, shingles long, bands array<long>")
 
 
+def elements(shingles: np.ndarray, weights: str) -> np.ndarray:
+    """Sorted set whose Jaccard similarity is that of the shingle sets, or of the bags for "count".
+
+    The n-th occurrence of a shingle in a bag is an element of its own.
+    """
+    if weights != "count" or not len(shingles):
+        return np.unique(shingles)
+    ordered = np.sort(shingles)
+    turn = np.arange(len(ordered)) - np.searchsorted(ordered, ordered, side="left")
+    return np.sort(mixed(ordered + turn.astype(np.uint64) * GOLD))
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Jaccard similarity of sorted sets."""
     both = len(a) + len(b) - len(np.union1d(a, b))
     return both / max(1, len(a) + len(b) - both)
 
 
-def weighted(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of bags."""
-    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = np.bincount(at[:len(a)], minlength=len(names)), np.bincount(at[len(a):], minlength=len(names))
-    return float(np.minimum(x, y).sum() / max(1, np.maximum(x, y).sum()))
+def similarities(sets: list[np.ndarray]) -> np.ndarray:
+    """Jaccard similarities of all pairs of sets, by products of slabs of their incidence matrix."""
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, element, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    column, keep = np.cumsum(shared) - 1, shared[element]
+    column, owner = column[element[keep]], owner[keep]
+    order = np.argsort(column, kind="stable")
+    column, owner, both = column[order], owner[order], np.zeros((len(sets), len(sets)))
+    for start in range(0, int(shared.sum()), 4096):
+        a, b = np.searchsorted(column, (start, start + 4096))
+        slab = np.zeros((len(sets), 4096), np.float32)
+        slab[owner[a:b], column[a:b] - start] = 1
+        both += slab @ slab.T
+    return both / np.maximum(1, sizes[:, None] + sizes - both)
+
+
+def crossing(left: DataFrame, texts: DataFrame, weights: str, least: float, shingle: int) -> DataFrame:
+    """Links ``a, b`` between different classes within the bands of ``left`` (``band, hash, nodes, node, label``).
+
+    A band's nodes are dealt into blocks, and every two blocks meet in one place, where all their
+    similarities are computed at once. Only links are emitted.
+    """
+    blocks = F.ceil(F.col("nodes") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    rows = (left.select("band", "hash", "node", "label", block.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+            .select("band", "hash", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", "label"))
+    group = ["band", "hash", "low", "high"]
+    rows = rows.join(texts, "node").repartition(*group).sortWithinPartitions(*group, "node")
+
+    def meet(nodes: list, labels: list, sets: list) -> pa.RecordBatch:
+        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if len(set(labels)) > 1:
+            label, name = np.array(labels), np.array(nodes)
+            hit = (similarities(sets) >= least - 1e-12) & (label[:, None] != label) & (name[:, None] > name)
+            a, b = (name[i] for i in np.nonzero(hit))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, last, nodes, labels, sets = WordHashes(), None, [], [], []
+        for part in slices(batches):
+            if len(hashes) > WORDS_KEPT:
+                hashes = WordHashes()
+            for band, hash_, low, high, node, label, words in zip(*(part.column(c).to_pylist() for c in (*group, "node", "label")), words_of(part)):
+                if (band, hash_, low, high) != last:
+                    yield meet(nodes, labels, sets)
+                    last, nodes, labels, sets = (band, hash_, low, high), [], [], []
+                if not nodes or nodes[-1] != node:
+                    nodes.append(node)
+                    labels.append(label)
+                    sets.append(elements(shingles_of(words, hashes, shingle), weights))
+        yield meet(nodes, labels, sets)
+
+    return rows.select(*group, "node", "label", "text").mapInArrow(run, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, weights: str, least: float, shingle: int) -> DataFrame:
@@ -198,8 +262,6 @@ def verified(pairs: DataFrame, texts: DataFrame, weights: str, least: float, shi
     leader = leaders.select("leader", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"),
                             F.lit(0).alias("role"), F.col("leader").alias("node"))
     rows = member.unionByName(leader).join(texts, "node").repartition("leader", "cell").sortWithinPartitions("leader", "cell", "role", "node")
-    compare = weighted if weights == "count" else similarity
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held, last, own = WordHashes(), None, None, None
         for part in slices(batches):
@@ -209,11 +271,10 @@ def verified(pairs: DataFrame, texts: DataFrame, weights: str, least: float, shi
             for leader, cell, role, node, words in zip(*(part.column(c).to_pylist() for c in ("leader", "cell", "role", "node")), words_of(part)):
                 if (leader, cell, node) == last:
                     continue
-                last, bag = (leader, cell, node), shingles_of(words, hashes, shingle)
-                bag = bag if weights == "count" else np.unique(bag)
+                last, bag = (leader, cell, node), elements(shingles_of(words, hashes, shingle), weights)
                 if not role:
                     held, own = bag, (leader, cell)
-                elif own == (leader, cell) and min(len(bag), len(held)) >= least * max(len(bag), len(held)) and compare(bag, held) >= least - 1e-12:
+                elif own == (leader, cell) and min(len(bag), len(held)) >= least * max(len(bag), len(held)) and similarity(bag, held) >= least - 1e-12:
                     found[0].append(node)
                     found[1].append(leader)
             yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], names=["a", "b"])
@@ -265,14 +326,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", weig
     labels = components(links)
     # Bands that the links leave in several classes are searched across these classes.
     labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    split = labelled.groupBy("band", "hash").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    left = durable(labelled.join(split.select("band", "hash"), ["band", "hash"]))
-    other = left.select("band", "hash", F.col("node").alias("b"), F.col("label").alias("other"), F.col("shingles").alias("more"))
+    split = labelled.groupBy("band", "hash").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("nodes")).where("low < high")
+    left = durable(labelled.join(split.select("band", "hash", "nodes"), ["band", "hash"]))
+    few = left.where(F.col("nodes") <= FEW)
+    other = few.select("band", "hash", F.col("node").alias("b"), F.col("label").alias("other"), F.col("shingles").alias("more"))
     alike = F.least("shingles", "more") >= (least if weights == "set" else 0.0) * F.greatest("shingles", "more")
-    across = durable(left.join(other, ["band", "hash"]).where((F.col("label") != F.col("other")) & (F.col("node") > F.col("b")) & alike)
-                     .select(F.col("node").alias("a"), "b").distinct().join(stars, ["a", "b"], "left_anti"))
-    if not across.isEmpty():
-        labels = components(links.unionByName(verified(across, texts, weights, least, shingle)))
+    across = (few.join(other, ["band", "hash"]).where((F.col("label") != F.col("other")) & (F.col("node") > F.col("b")) & alike)
+              .select(F.col("node").alias("a"), "b").distinct().join(stars, ["a", "b"], "left_anti"))
+    more = durable(verified(durable(across), texts, weights, least, shingle)
+                   .unionByName(crossing(left.where(F.col("nodes") > FEW), texts, weights, least, shingle)))
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
     classes = nodes.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("label"))
     worded = durable(all_rows.where("shingles > 0").join(classes, "digest").select("doc_id", "text_key", "row", "label"))
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
