@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Fixed value: the form of the ids.
 UUID_PATTERN = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
 
@@ -13,16 +14,26 @@ def col(c: str | Column) -> Column:
 
 
 def money(amount: str | Column, scale: int = 2) -> Column:
-    """Exact value of an amount with at most ``scale`` decimals.
+    """An amount rounded to ``scale`` decimals; null if it is no number or has over 38 digits.
 
-    Sums of it do not depend on row order, which sums of doubles do.
+    Sums of it do not depend on row order, which sums of doubles do, and no value ends them.
     """
-    return col(amount).cast(f"decimal(18,{scale})")
+    return col(amount).try_cast(f"decimal(38,{scale})")
+
+
+def measure(value: str | Column) -> Column:
+    """A gauge, counter or duration to 12 decimals, as ``money`` is for amounts."""
+    return money(value, 12)
+
+
+def measure_sum(value: str | Column) -> Column:
+    """Sum of a measure; null when there is nothing to add."""
+    return F.try_sum(measure(value)).cast("double")
 
 
 def money_sum(amount: str | Column, scale: int = 2) -> Column:
     """Sum of a double amount, 0.0 when there is nothing to add."""
-    return F.coalesce(F.sum(money(amount, scale)).cast("double"), F.lit(0.0))
+    return F.coalesce(F.try_sum(money(amount, scale)).cast("double"), F.lit(0.0))
 
 
 def epoch_millis(ts: str | Column) -> Column:
@@ -67,7 +78,8 @@ def short_id(prefix: str, source: str | Column | None = None) -> Column:
 
 
 def is_uuid(text: str | Column) -> Column:
-    return F.lower(col(text)).rlike(UUID_PATTERN)
+    """Whether the text is a UUID in lower case."""
+    return col(text).rlike(UUID_PATTERN)
 
 
 def item_list(items: str | Column) -> Column:
@@ -75,10 +87,6 @@ def item_list(items: str | Column) -> Column:
     return F.transform(F.split(col(items), ","), lambda s: F.trim(s))
 
 
-def or_zero(c: str | Column) -> Column:
-    return F.coalesce(col(c), F.lit(0))
-
-
 def content_hash(body: str | Column) -> Column:
     return F.sha2(col(body), 256)
 
@@ -89,10 +97,6 @@ def dedup_id(explicit: str | Column | None, body: str | Column) -> Column:
     return hashed if explicit is None else F.coalesce(col(explicit), hashed)
 
 
-def per_minute(rate_per_second: str | Column) -> Column:
-    return col(rate_per_second) * F.lit(60.0)
-
-
 def topic_regex(pattern: str | Column) -> Column:
     """Anchored regex for a wildcard binding key.
 

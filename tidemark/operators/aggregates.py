@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import epoch_millis, money, money_sum
+from tidemark.functions.columns import measure_sum, epoch_millis, money, money_sum
 from tidemark.operators.skew import SPLIT_ROWS, running, running_count, running_sum
 
 
@@ -90,10 +90,12 @@ def unique_messages(df: DataFrame, key: str = "message_id") -> DataFrame:
 def average_over_time(samples: DataFrame, value: str = "value", ts: str = "ts",
                       size: str = "5 minutes", slide: str | None = None,
                       by: tuple[str | Column, ...] = ()) -> DataFrame:
-    """Mean of a gauge per window."""
+    """Mean of a gauge per window; NaN where a sample is NaN, null without samples."""
     window = F.window(ts, size, slide) if slide else F.window(ts, size)
     keys = [F.col(b) if isinstance(b, str) else b for b in by]
-    mean = F.sum(money(value, 6)).cast("double") / F.count(value)
+    number = F.col(value).cast("double")
+    mean = F.when(F.bool_or(F.isnan(number)), F.lit(float("nan"))).otherwise(
+        measure_sum(number) / F.count(number))
     return (samples.groupBy(window.alias("_w"), *keys).agg(mean.alias("average"))
             .withColumns({"window_start": F.col("_w.start"), "window_end": F.col("_w.end")})
             .drop("_w"))

@@ -27,10 +27,13 @@ def upgrade(df: DataFrame, defaults: dict = V2_DEFAULTS) -> DataFrame:
     """Add the fields of the next version.
 
     A default fills a field only where it was absent from the record; a null in a field
-    that is present stays null.
+    that is present stays null.  A field has its default's type, and is text without one.
     """
-    return df.withColumns({name: F.lit(value).cast("string")
-                           for name, value in defaults.items() if name not in df.columns})
+    def filled(value) -> Column:
+        return F.lit(None).cast("string") if value is None else F.lit(value)
+
+    return df.withColumns({name: filled(value) for name, value in defaults.items()
+                           if name not in df.columns})
 
 
 def downgrade(df: DataFrame, schema: T.StructType = ORDER_V1) -> DataFrame:

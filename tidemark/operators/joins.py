@@ -166,6 +166,14 @@ def stage_gaps(placed: DataFrame, stage_rows: DataFrame, key: str = "message_id"
     return not_yet_processed(placed, stage_rows, key)
 
 
+def all_stage_gaps(seen: DataFrame, stages: tuple[str, ...], first: str = "placed",
+                   key: str = "message_id") -> DataFrame:
+    """``key, stage`` of every stage that has not seen a message of the first stage, in one pass."""
+    had = seen.where(F.col("stage").isin(first, *stages)).groupBy(key).agg(F.collect_set("stage").alias("_had"))
+    missing = F.array_except(F.array(*map(F.lit, stages)), F.col("_had"))
+    return had.where(F.array_contains("_had", first)).select(key, F.explode(missing).alias("stage"))
+
+
 def overdue_receipts(received: DataFrame, deleted: DataFrame, visibility: int = 30,
                      key: str = "message_id", received_ts: str = "received_at",
                      deleted_ts: str = "deleted_at", split_rows: int = JOIN_SPLIT_ROWS) -> DataFrame:

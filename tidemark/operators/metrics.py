@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import epoch_micros, money, seconds
+from tidemark.functions.columns import epoch_micros, measure_sum, seconds
 from tidemark.operators.skew import SPLIT_ROWS, previous, running, running_sum
 from tidemark.session import durable
 
@@ -77,7 +77,7 @@ def counter_rate(samples: DataFrame, series: list[str], order: list[str],
     deltas = counter_deltas(samples, series, order, value, split_rows)
     window = F.window(ts, f"{window_seconds} seconds",
                       f"{slide_seconds or window_seconds} seconds")
-    increase = F.coalesce(F.sum(money("delta", 6)).cast("double"), F.lit(0.0))
+    increase = F.coalesce(measure_sum("delta"), F.lit(0.0))
     out = deltas.groupBy(window.alias("_w"), *series).agg(increase.alias("increase"))
     per_second = F.col("increase") / F.lit(float(window_seconds))
     return out.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
@@ -88,7 +88,7 @@ def counter_rate(samples: DataFrame, series: list[str], order: list[str],
 def sum_by_label(samples: DataFrame, label: str, value: str = "value",
                  labels: str = "labels", by: tuple[str, ...] = ()) -> DataFrame:
     return samples.groupBy(*by, F.col(labels)[label].alias(label)) \
-        .agg(F.sum(money(value, 6)).cast("double").alias("total"))
+        .agg(measure_sum(value).alias("total"))
 
 
 def to_buckets(df: DataFrame, value: str, bounds: tuple[float, ...],
@@ -130,16 +130,23 @@ def bucket_quantiles(buckets: DataFrame, quantiles: tuple[float, ...] = (0.5, 0.
         F.min_by(F.when(hit, value), F.when(hit, F.col("le"))).alias("value"))
 
 
+def _quantile_name(q: float) -> str:
+    """``p05``, ``p95``, ``p99_9``: all decimals of the percentage, so that names differ."""
+    whole, _, part = f"{round(q * 100, 10):.10f}".rstrip("0").rstrip(".").partition(".")
+    return f"p{whole.zfill(2)}" + (f"_{part}" if part else "")
+
+
 def duration_summary(df: DataFrame, value: str, by: tuple[str, ...] = (),
                      quantiles: tuple[float, ...] = (0.5, 0.95, 0.99),
                      exact: bool = False, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Count, total, maximum and quantiles of durations.
 
     Quantiles come from a mergeable sketch; with ``exact`` from the ranks of the
-    distinct values, counted before they are ranked so that no group is collected.
+    distinct values, counted before they are ranked so that no group is collected.  A group
+    without values keeps its row.
     """
-    names = [f"p{round(q * 100):02d}" for q in quantiles]
-    base = [F.count(value).alias("count"), F.sum(money(value, 6)).cast("double").alias("total"),
+    names = [_quantile_name(q) for q in quantiles]
+    base = [F.count(value).alias("count"), measure_sum(value).alias("total"),
             F.max(value).alias("max")]
     if not exact:
         sketch = F.percentile_approx(value, list(quantiles)).alias("_q")
@@ -157,7 +164,9 @@ def duration_summary(df: DataFrame, value: str, by: tuple[str, ...] = (),
     same = F.lit(True)
     for i, b in enumerate(by):
         same = same & F.col(b).eqNullSafe(F.col(f"_g_{i}"))
-    joined = ranked.join(keyed, same)
+    ranks = ranked.select(*by, value, "_n", "_upto")
+    joined = ranks.join(keyed, same, "right").select(
+        *[F.col(f"_g_{i}").alias(b) for i, b in enumerate(by)], value, "_n", "_upto", "count", "total", "max")
 
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank),
@@ -176,10 +185,14 @@ def duration_summary(df: DataFrame, value: str, by: tuple[str, ...] = (),
 
 
 def consumer_lag(log: DataFrame, commits: DataFrame) -> DataFrame:
-    """Messages not yet committed per partition; without a commit, all that ever arrived."""
+    """Messages not yet committed per partition; without a commit, all that ever arrived.
+
+    A committed partition whose rows have gone ends where its commit is.
+    """
     ends = log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("end_offset"))
     return (ends.join(commits.select("topic", "partition", "next_offset"),
-                      ["topic", "partition"], "left")
+                      ["topic", "partition"], "full")
+            .withColumn("end_offset", F.coalesce("end_offset", "next_offset"))
             .select("topic", "partition", "end_offset", "next_offset",
                     (F.col("end_offset") - F.coalesce("next_offset", F.lit(0))).alias("lag")))
 

@@ -14,7 +14,6 @@ from tidemark.functions.columns import seconds
 AS_CODED = (10, 10, 10)
 AS_DOCUMENTED = (10, 30, 60)
 INVENTORY = (5, 15, 30)
-BODY_COUNT = (2, 2)
 
 
 def retry_schedule(messages: DataFrame, failing: Column, delays: Sequence[int] = AS_CODED,

@@ -10,15 +10,22 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import topic_regex, topic_subject
 from tidemark.operators.skew import SPLIT_ROWS, previous, running, running_count
 
+#: Binding tables of up to so many rows become literals; the answer is the same either way.
 INLINE_BINDINGS = 200
-BROADCAST_BINDINGS = 20_000
-SPREAD = 64
 
 
 def _wildcard(binding_key: str) -> bool:
     return bool({"*", "#"} & set(binding_key.split(".")))
 
 
+def _usable(bindings: DataFrame) -> DataFrame:
+    """Bindings that can match: those with a queue, and with a key unless they fan out."""
+    fan = F.col("exchange_type") == "FANOUT"
+    return (bindings.select("exchange", "exchange_type", "binding_key", "queue")
+            .where(F.col("queue").isNotNull() & (fan | F.col("binding_key").isNotNull()))
+            .withColumn("_regex", topic_regex("binding_key")))
+
+
 def _inline_match(b, subject: Column) -> Column:
     """Condition under which a message reaches the queue of one (collected) binding."""
     kind = b["exchange_type"]
@@ -27,29 +34,24 @@ def _inline_match(b, subject: Column) -> Column:
         return here
     if kind == "TOPIC" and _wildcard(b["binding_key"]):
         return here & subject.rlike(b["_regex"])
-    return here & F.col("routing_key").eqNullSafe(F.lit(b["binding_key"]))
+    return here & (F.col("routing_key") == F.lit(b["binding_key"]))
 
 
 def route(messages: DataFrame, bindings: DataFrame, keep_unroutable: bool = False,
-          inline_limit: int = INLINE_BINDINGS,
-          broadcast_limit: int = BROADCAST_BINDINGS) -> DataFrame:
+          inline_limit: int = INLINE_BINDINGS) -> DataFrame:
     """One row per message and queue it reaches; ``queue`` is null for no queue if kept.
 
     Messages carry ``exchange`` and ``routing_key``; bindings ``exchange``,
     ``exchange_type``, ``binding_key``, ``queue``.  A queue gets one copy even if
-    several bindings match.  The size of the binding table decides the plan: a small
-    one becomes literals in a projection, so that routing neither shuffles nor
-    recompiles patterns; a larger one is matched against the distinct routing keys.
+    several bindings match.  A null routing or binding key matches nothing but a fan-out; a
+    binding without a queue delivers nothing.  A small binding table becomes literals in a
+    projection; any other is joined, on batches and streams alike, with equal results.
     """
-    prepared = bindings.select("exchange", "exchange_type", "binding_key", "queue") \
-        .withColumn("_regex", topic_regex("binding_key"))
+    prepared = _usable(bindings)
     found = prepared.limit(inline_limit + 1).collect()
     if len(found) <= inline_limit:
         return _route_inline(messages, found, keep_unroutable)
-    if messages.isStreaming:
-        raise ValueError(f"streams are routed with at most {inline_limit} bindings; "
-                         "raise inline_limit or route inside foreachBatch")
-    return _route_joined(messages, prepared, keep_unroutable, broadcast_limit)
+    return _route_joined(messages, prepared, keep_unroutable)
 
 
 def _route_inline(messages: DataFrame, found: list, keep_unroutable: bool) -> DataFrame:
@@ -70,40 +72,43 @@ def _burst(messages: DataFrame, hits: list[Column], keep_unroutable: bool = Fals
     return messages.select("*", F.explode(queues).alias("queue")).where(F.col("queue").isNotNull())
 
 
-def _route_joined(messages: DataFrame, prepared: DataFrame, keep_unroutable: bool,
-                  broadcast_limit: int) -> DataFrame:
-    """Match patterns once per distinct routing key, then look the queues up.
+def _route_joined(messages: DataFrame, prepared: DataFrame, keep_unroutable: bool) -> DataFrame:
+    """Look up exact keys and test an exchange's patterns by joins with tables of bindings.
 
-    Exact keys are a plain equi-join.  Fan-outs and wildcards are compared per
-    exchange; beyond the broadcast limit both sides are spread over ``SPREAD`` salts so
-    that one busy exchange does not end in one task.
+    The tables have one row per exchange and key, and per exchange, so no message is repeated
+    before its queues are known.  A batch does so once per distinct routing key; a stream, which
+    can't tell distinct keys without state, for each message.
     """
     parts = F.split("binding_key", r"\.")
     fan = F.col("exchange_type") == "FANOUT"
-    wild = (F.col("exchange_type") == "TOPIC") & F.arrays_overlap(
-        parts, F.array(F.lit("*"), F.lit("#")))
+    wild = (F.col("exchange_type") == "TOPIC") & F.arrays_overlap(parts, F.array(F.lit("*"), F.lit("#")))
     loose = fan | F.coalesce(wild, F.lit(False))
-    keys = messages.select("exchange", "routing_key").distinct()
-    exact = prepared.where(~loose).select(
-        "exchange", F.col("binding_key").alias("routing_key"), "queue")
-    exact = keys.join(exact, ["exchange", "routing_key"])
-
-    subjects = keys.withColumn("_subject", topic_subject("routing_key"))
-    patterns = prepared.where(loose).select(
-        F.col("exchange").alias("_ex"), fan.alias("_all"), "_regex", "queue")
-    matches = (F.col("exchange") == F.col("_ex")) & (
-        F.col("_all") | F.expr("_subject RLIKE _regex"))
-    if patterns.limit(broadcast_limit + 1).count() <= broadcast_limit:
-        matched = subjects.join(F.broadcast(patterns), matches)
+    exact = prepared.where(~loose).groupBy(F.col("exchange").alias("_xe"), F.col("binding_key").alias("_xk")) \
+        .agg(F.collect_set("queue").alias("_exact"))
+    tests = prepared.where(loose).groupBy(F.col("exchange").alias("_le")) \
+        .agg(F.collect_set(F.struct(fan.alias("all"), F.col("_regex").alias("regex"), "queue")).alias("_loose"))
+    none = F.array().cast("array<string>")
+
+    def hit(test: Column) -> Column:
+        return test["all"] | F.coalesce(F.call_function("rlike", F.col("_subject"), test["regex"]), F.lit(False))
+
+    def queues(df: DataFrame) -> DataFrame:
+        joined = (df.withColumn("_subject", topic_subject("routing_key"))
+                  .join(exact, (F.col("exchange") == F.col("_xe")) & (F.col("routing_key") == F.col("_xk")), "left")
+                  .join(tests, F.col("exchange") == F.col("_le"), "left"))
+        matched = F.coalesce(F.transform(F.filter("_loose", hit), lambda t: t["queue"]), none)
+        found = F.array_sort(F.array_distinct(F.concat(F.coalesce("_exact", none), matched)))
+        return joined.withColumn("_queues", found)
+
+    if messages.isStreaming:
+        held = queues(messages).drop("_subject", "_xe", "_xk", "_exact", "_le", "_loose")
     else:
-        salted = patterns.withColumn("_ps", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-        salt = F.pmod(F.xxhash64("routing_key"), F.lit(SPREAD))
-        matched = subjects.withColumn("_ks", salt) \
-            .join(salted, (F.col("_ks") == F.col("_ps")) & matches)
-    queues = (exact.unionByName(matched.select("exchange", "routing_key", "queue")).distinct()
-              .withColumnsRenamed({"exchange": "_re", "routing_key": "_rk"}))
-    on = (F.col("exchange") == F.col("_re")) & F.col("routing_key").eqNullSafe(F.col("_rk"))
-    return messages.join(queues, on, "left" if keep_unroutable else "inner").drop("_re", "_rk")
+        keys = queues(messages.select("exchange", "routing_key").distinct()).where(F.size("_queues") > 0) \
+            .select(F.col("exchange").alias("_re"), F.col("routing_key").alias("_rk"), "_queues")
+        on = (F.col("exchange") == F.col("_re")) & F.col("routing_key").eqNullSafe(F.col("_rk"))
+        held = messages.join(keys, on, "left" if keep_unroutable else "inner").drop("_re", "_rk")
+    burst = F.explode_outer if keep_unroutable else F.explode
+    return held.select("*", burst("_queues").alias("queue")).drop("_queues")
 
 
 def unroutable(messages: DataFrame, bindings: DataFrame) -> DataFrame:
@@ -114,51 +119,44 @@ def unroutable(messages: DataFrame, bindings: DataFrame) -> DataFrame:
 
 def route_by_headers(messages: DataFrame, bindings: DataFrame,
                      inline_limit: int = INLINE_BINDINGS) -> DataFrame:
-    """Route on message attributes: a binding asks for ``all`` or ``any`` of its headers."""
-    found = bindings.select("exchange", "headers", "match", "queue") \
-        .limit(inline_limit + 1).collect()
+    """Route on message attributes: a binding asks for ``all`` or ``any`` of its headers.
+
+    ``match`` may be written in either case; anything but "any" means all.  A binding without
+    a queue or a header map delivers nothing; a null header value matches nothing.
+    """
+    asks_any = F.coalesce(F.lower("match") == "any", F.lit(False))
+    usable = bindings.where("queue IS NOT NULL AND headers IS NOT NULL") \
+        .select("exchange", "headers", asks_any.alias("_any"), "queue")
+    found = usable.limit(inline_limit + 1).collect()
     if len(found) > inline_limit:
-        return _route_headers_joined(messages, bindings)
+        return _route_headers_joined(messages, usable)
     by_queue: dict[str, list[Column]] = {}
     for b in found:
         tests = [F.coalesce(F.col("headers")[k] == v, F.lit(False))
                  for k, v in sorted(b["headers"].items())]
-        if b["match"] == "all":
-            cond = reduce(lambda x, y: x & y, tests, F.lit(True))
-        else:
-            cond = reduce(lambda x, y: x | y, tests, F.lit(False))
+        cond = reduce(lambda x, y: x | y, tests, F.lit(False)) if b["_any"] \
+            else reduce(lambda x, y: x & y, tests, F.lit(True))
         by_queue.setdefault(b["queue"], []).append((F.col("exchange") == b["exchange"]) & cond)
     hits = [F.when(reduce(lambda x, y: x | y, conds), F.lit(q))
             for q, conds in sorted(by_queue.items())]
     return _burst(messages, hits)
 
 
-def _route_headers_joined(messages: DataFrame, bindings: DataFrame) -> DataFrame:
-    """Header routing for a large binding table: equi-join on (exchange, header, value).
-
-    Matched headers are counted per distinct header set and binding, so no message is
-    compared with a binding it shares no header with.
-    """
-    sets = messages.select("exchange", F.map_entries("headers").alias("_h")) \
-        .select("exchange", F.array_sort("_h").alias("_h")).distinct()
-    pairs = sets.select("exchange", "_h", F.explode("_h").alias("e")) \
-        .select("exchange", "_h", F.col("e.key").alias("_k"), F.col("e.value").alias("_v"))
-    named = bindings.select("exchange", "match", "queue",
-                            F.array_sort(F.map_entries("headers")).alias("_bh")).distinct()
-    wanted = named.select("exchange", "match", "queue", "_bh", F.explode("_bh").alias("e")) \
-        .select("exchange", "match", "queue", "_bh", F.size("_bh").alias("_need"),
-                F.col("e.key").alias("_k"), F.col("e.value").alias("_v"))
-    counted = pairs.join(wanted, ["exchange", "_k", "_v"]) \
-        .groupBy("exchange", "_h", "match", "queue", "_bh", "_need").count()
-    enough = (F.col("match") == "any") | (F.col("count") == F.col("_need"))
-    reached = counted.where(enough).select("exchange", "_h", "queue")
-    open_to_all = named.where((F.col("match") == "all") & (F.size("_bh") == 0)) \
-        .select("exchange", "queue")
-    reached = reached.unionByName(sets.join(open_to_all, "exchange")).distinct() \
-        .withColumnsRenamed({"exchange": "_re", "_h": "_rh"})
+def _route_headers_joined(messages: DataFrame, usable: DataFrame) -> DataFrame:
+    """Header routing by a join with one row of tests per exchange; works on streams."""
     entries = F.array_sort(F.map_entries("headers"))
-    return messages.join(reached, (F.col("exchange") == F.col("_re")) &
-                         (entries == F.col("_rh"))).drop("_re", "_rh")
+    tests = usable.groupBy(F.col("exchange").alias("_he")) \
+        .agg(F.collect_set(F.struct("_any", entries.alias("wants"), "queue")).alias("_tests"))
+
+    def hit(test: Column) -> Column:
+        def has(e: Column) -> Column:
+            return F.coalesce(F.try_element_at("headers", e["key"]) == e["value"], F.lit(False))
+
+        return F.when(test["_any"], F.exists(test["wants"], has)).otherwise(F.forall(test["wants"], has))
+
+    reached = F.array_distinct(F.transform(F.filter("_tests", hit), lambda t: t["queue"]))
+    return messages.join(tests, F.col("exchange") == F.col("_he")) \
+        .select(*messages.columns, F.explode(reached).alias("queue"))
 
 
 # --- keys and partitions ---------------------------------------------------------------

@@ -330,9 +330,9 @@ def partition_distribution(spark, sf_dir):
 
 @query
 def partition_explicit(spark, sf_dir):
-    """Event types on fixed partitions; every type has an entry."""
+    """Event types on fixed partitions, those without an entry by hash."""
     events = views.table(spark, sf_dir, "events").select("event_id", "event_type")
-    fixed = {"purchase": 0, "view": 1, "click": 2, "signup": 0, "error": 1}
+    fixed = {"purchase": 0, "view": 1, "click": 2}
     return routing.keys_per_partition(
         routing.explicit_partition(events, "event_type", fixed, 3), "event_type")
 
@@ -417,7 +417,7 @@ def evolve_v1_to_v2(spark, sf_dir):
 
 @query
 def downgrade_v2_to_v1(spark, sf_dir):
-    return contract.downgrade(views.order_v2(spark, sf_dir))
+    return contract.downgrade(contract.merge_versions(views.order_v1(spark, sf_dir), views.order_v2(spark, sf_dir)))
 
 
 @query
@@ -467,9 +467,9 @@ def stage_reconciliation(spark, sf_dir):
 
 @query
 def stage_gaps(spark, sf_dir):
-    seen = views.stage_events(spark, sf_dir)
-    placed = seen.where(F.col("stage") == "placed").select("message_id")
-    return joins.stage_gaps(placed, seen.where(F.col("stage") == "sms").select("message_id"))
+    """Every stage that misses a placed order."""
+    stages = ("inventory", "analytics", "email", "sms", "invoice")
+    return joins.all_stage_gaps(views.stage_events(spark, sf_dir), stages)
 
 
 @query
@@ -529,17 +529,8 @@ def _event_stream(spark, sf_dir):
 
 
 def _drain(stream, step, mode="append"):
-    """Run to the end of the input; on one machine with no more state stores than cores."""
-    spark = stream.sparkSession
-    name = "spark.sql.shuffle.partitions"
-    set_to, sc = spark.conf.get(name), spark.sparkContext
-    if sc.master.startswith("local"):
-        spark.conf.set(name, str(min(int(set_to), sc.defaultParallelism)))
-    try:
-        sinks.start(stream, step, f"{scratch(spark)}/checkpoint", mode, every=None) \
-            .awaitTermination()
-    finally:
-        spark.conf.set(name, set_to)
+    """Run to the end of the input."""
+    sinks.start(stream, step, f"{scratch(stream.sparkSession)}/checkpoint", mode, every=None).awaitTermination()
 
 
 def _local(df, *names):

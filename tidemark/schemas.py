@@ -26,29 +26,21 @@ ORDER_EVENT = _record(message_id=_S, order_id=_S, customer_id=_S, amount=_D, ite
                       status=_S, created_at=_TS)
 PAYMENT_EVENT = _record(order_id=_S, payment_id=_S, payment_method=_S, payment_status=_S,
                         amount=_D, created_at=_TS)
-CHARGE_EVENT = _record(message_id=_S, order_id=_S, customer_id=_S, amount=_D,
-                       payment_method=_S, status=_S, created_at=_TS)
 INVENTORY_EVENT = _record(product_id=_S, product_name=_S, quantity=_I, event_type=_S,
                           warehouse_id=_S, created_at=_TS)
-RETRY_ORDER = _record(message_id=_S, order_id=_S, customer_id=_S, amount=_D,
-                      should_fail=_B, retry_count=_I, created_at=_TS)
 JOB_MESSAGE = _record(message_id=_S, exchange=_S, exchange_type=_S, routing_key=_S,
                       payload=_S, created_at=_TS)
 BINDING = _record(exchange=_S, exchange_type=_S, binding_key=_S, queue=_S)
 HEADER_BINDING = _record(exchange=_S, headers=T.MapType(_S, _S), match=_S, queue=_S)
-QUEUE_ORDER = _record(message_id=_S, order_id=_S, customer_id=_S, amount=_D,
-                      payment_method=_S, status=_S, created_at=_TS)
 ORDER_V1 = _record(message_id=_S, order_id=_S, customer_id=_S, amount=_D, status=_S,
                    created_at=_S)
 ORDER_V2 = T.StructType(list(ORDER_V1.fields)).add("region", _S).add("customer_email", _S)
 PLACED_ORDER = _record(message_id=_S, order_id=_S, customer_id=_S, customer_email=_S,
                        customer_phone=_S, amount=_D, items=_S, status=_S, created_at=_S)
-REVENUE_WINDOW = _record(window_start=_L, window_end=_L, total_revenue=_D, order_count=_L)
 ENRICHED_ORDER = _record(order_id=_S, customer_id=_S, order_amount=_D, items=_S,
                          order_status=_S, order_created_at=_TS, payment_id=_S,
                          payment_method=_S, payment_status=_S, payment_created_at=_TS,
                          join_type=_S)
-STAGE_EVENT = _record(stage=_S, message_id=_S, ts=_TS)
 METRIC_SAMPLE = _record(metric=_S, labels=T.MapType(_S, _S), ts=_TS, value=_D)
 BUCKET_SAMPLE = _record(metric=_S, ts=_TS, le=_D, cum_count=_D)
 

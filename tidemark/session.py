@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -31,19 +32,38 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new name in the shared folder that the cluster names in ``spark.checkpoint.dir``.
+_local_folders: dict[str, str] = {}
+
 
-    A local session without one gets a temporary folder; a cluster without one is an
-    error, because a machine-local folder would be lost with its machine.
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the one that the cluster names in ``spark.checkpoint.dir``.
+
+    A local session without that setting gets a temporary folder, which goes with the process;
+    a cluster without it is an error, because a machine-local folder would be lost with its
+    machine.
     """
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = sc.getConf().get("spark.checkpoint.dir")
-        if named is None and not sc.master.startswith("local"):
+    named = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
+    if named is None:
+        if not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-"))
-    return f"{sc.getCheckpointDir()}/table-{uuid.uuid4()}"
+        if sc.applicationId not in _local_folders:
+            folder = tempfile.TemporaryDirectory(prefix="tidemark-", ignore_cleanup_errors=True)
+            atexit.register(folder.cleanup)
+            _local_folders[sc.applicationId] = folder.name
+        named = _local_folders[sc.applicationId]
+    return f"{named}/tidemark-{sc.applicationId}"
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new name for a table or a stream's checkpoint in the shared folder."""
+    return f"{scratch_root(spark)}/table-{uuid.uuid4()}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, when nothing reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def durable(df: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ def fan_out(sinks: Mapping[str, BatchWriter], outcomes: str) -> BatchWriter:
                     write(batch, batch_id)
                     results.append((name, True, None))
                 except Exception as failure:  # noqa: BLE001 - any sink may fail in any way
-                    results.append((name, False, f"{type(failure).__name__}: {failure}"[:500]))
+                    results.append((name, False, f"{type(failure).__name__}: {failure}"))
             tables.put(batch.sparkSession.createDataFrame(results, OUTCOME), outcomes, batch_id)
         finally:
             batch.unpersist()
