@@ -104,13 +104,15 @@ class Model:
     def score(self, letters: Letters) -> np.ndarray:
         """Scores per word and language, the best 0; all 0 for words without letters."""
         scores = np.zeros((len(letters.sizes), len(self.langs)))
+        if not self.langs:
+            return scores.astype(np.float32)
         for word, bucket in letters.grams():
             for i in range(len(self.langs)):
                 scores[:, i] += np.bincount(word, self.logs[bucket, i], len(scores))
         scores /= 3
         fits = self.written[:, letters.scripts()].T
         scores = np.where(fits | ~fits.any(axis=1, keepdims=True), scores, scores.min(axis=1, keepdims=True) - 50)
-        scores -= scores.max(axis=1, keepdims=True, initial=-np.inf)
+        scores -= scores.max(axis=1, keepdims=True)
         return np.where(letters.sizes[:, None] > 0, scores.clip(-100), 0).astype(np.float32)
 
 

@@ -76,32 +76,53 @@ def fill(lengths: list[tuple[int, int]], budget: int, knapsack: int = KNAPSACK_W
     total = sum(s * n for s, n in lengths)
     if budget >= total:
         return dict(lengths)
-    taken = {s: n * budget // total for s, n in lengths}
-    left = budget - sum(s * k for s, k in taken.items())
+    share = {s: n * budget // total for s, n in lengths}
+    left = budget - sum(s * k for s, k in share.items())
     for s, n in reversed(lengths):
         if left > knapsack:
-            more = min(n - taken[s], -(-(left - knapsack) // s), left // s)
-            taken[s] += more
+            more = min(n - share[s], -(-(left - knapsack) // s), left // s)
+            share[s] += more
             left -= more * s
-    # Bounded knapsack over word counts: bit w of a state says that w words can be reached.
-    states, steps, mask = [1], [], (1 << (left + 1)) - 1
+    # Without an exact fit, ever more documents of each length are given back, while sums stay small.
+    release, found = 0, {}
+    while True:
+        base = {s: max(0, k - release) for s, k in share.items()}
+        open_ = budget - sum(s * k for s, k in base.items())
+        if release and open_ > knapsack:
+            break
+        tried = base | {s: base[s] + k for s, k in subset([(s, n - base[s]) for s, n in lengths], open_).items()}
+        miss = budget - sum(s * k for s, k in tried.items())
+        if not release or miss < budget - sum(s * k for s, k in found.items()):
+            found = tried
+        if not miss or not any(base.values()):
+            break
+        release = 2 * release or 1
+    rest = budget - sum(s * k for s, k in found.items())
+    spare = [s for s, n in lengths if found[s] < n and s < 2 * rest]
+    if spare:
+        found[spare[0]] += 1
+    return found
+
+
+def subset(lengths: list[tuple[int, int]], budget: int) -> dict[int, int]:
+    """Documents of each length whose words come nearest to ``budget`` from below.
+
+    Bounded knapsack over word counts: bit w of a state says that w words can be reached.
+    """
+    states, steps, mask = [1], [], (1 << (budget + 1)) - 1
     for s, n in reversed(lengths):
-        free, piece = min(n - taken[s], left // s), 1
-        while free > 0 and not states[-1] >> left & 1:
+        free, piece = min(n, budget // s), 1
+        while free > 0 and not states[-1] >> budget & 1:
             piece = min(piece, free)
             steps.append((s, piece))
             states.append((states[-1] | states[-1] << s * piece) & mask)
             free -= piece
             piece *= 2
-    at = states[-1].bit_length() - 1
+    at, taken = states[-1].bit_length() - 1, {}
     for (s, piece), before in zip(reversed(steps), reversed(states[:-1])):
         if not before >> at & 1:
-            taken[s] += piece
+            taken[s] = taken.get(s, 0) + piece
             at -= s * piece
-    rest = budget - sum(s * k for s, k in taken.items())
-    spare = [s for s, n in lengths if taken[s] < n and s < 2 * rest]
-    if spare:
-        taken[spare[0]] += 1
     return taken
 
 
