@@ -12,6 +12,8 @@ from tidemark.operators.skew import SPLIT_ROWS, previous, running, running_count
 
 #: Binding tables of up to so many rows become literals; the answer is the same either way.
 INLINE_BINDINGS = 200
+#: Joined binding tables of up to so many rows are broadcast; it steers the plan only.
+BROADCAST_BINDINGS = 20_000
 
 
 def _wildcard(binding_key: str) -> bool:
@@ -38,7 +40,8 @@ def _inline_match(b, subject: Column) -> Column:
 
 
 def route(messages: DataFrame, bindings: DataFrame, keep_unroutable: bool = False,
-          inline_limit: int = INLINE_BINDINGS) -> DataFrame:
+          inline_limit: int = INLINE_BINDINGS,
+          broadcast_limit: int = BROADCAST_BINDINGS) -> DataFrame:
     """One row per message and queue it reaches; ``queue`` is null for no queue if kept.
 
     Messages carry ``exchange`` and ``routing_key``; bindings ``exchange``,
@@ -51,7 +54,7 @@ def route(messages: DataFrame, bindings: DataFrame, keep_unroutable: bool = Fals
     found = prepared.limit(inline_limit + 1).collect()
     if len(found) <= inline_limit:
         return _route_inline(messages, found, keep_unroutable)
-    return _route_joined(messages, prepared, keep_unroutable)
+    return _route_joined(messages, prepared, keep_unroutable, broadcast_limit)
 
 
 def _route_inline(messages: DataFrame, found: list, keep_unroutable: bool) -> DataFrame:
@@ -72,7 +75,8 @@ def _burst(messages: DataFrame, hits: list[Column], keep_unroutable: bool = Fals
     return messages.select("*", F.explode(queues).alias("queue")).where(F.col("queue").isNotNull())
 
 
-def _route_joined(messages: DataFrame, prepared: DataFrame, keep_unroutable: bool) -> DataFrame:
+def _route_joined(messages: DataFrame, prepared: DataFrame, keep_unroutable: bool,
+                  broadcast_limit: int) -> DataFrame:
     """Look up exact keys and test an exchange's patterns by joins with tables of bindings.
 
     The tables have one row per exchange and key, and per exchange, so no message is repeated
@@ -88,6 +92,8 @@ def _route_joined(messages: DataFrame, prepared: DataFrame, keep_unroutable: boo
     tests = prepared.where(loose).groupBy(F.col("exchange").alias("_le")) \
         .agg(F.collect_set(F.struct(fan.alias("all"), F.col("_regex").alias("regex"), "queue")).alias("_loose"))
     none = F.array().cast("array<string>")
+    if prepared.limit(broadcast_limit + 1).count() <= broadcast_limit:
+        exact, tests = F.broadcast(exact), F.broadcast(tests)
 
     def hit(test: Column) -> Column:
         return test["all"] | F.coalesce(F.call_function("rlike", F.col("_subject"), test["regex"]), F.lit(False))
