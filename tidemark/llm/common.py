@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.session import durable
 
 #: Texts are handled in slices of so many bytes, whatever the size of an Arrow batch.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: The words of the contracts: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 

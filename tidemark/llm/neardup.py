@@ -32,7 +32,9 @@ BANDS, ROWS = 40, 7
 CELL = 64
 #: Bands of up to so many nodes give pairs; the nodes of larger ones meet in blocks of this size.
 FEW, BLOCK = 8, 128
-WORDS_KEPT = 500_000
+WORDS_KEPT = 200_000
+#: Bytes of text whose darts are thrown at once: some 20 arrays of a number a word each.
+SKETCHED = 3 << 20
 
 MIX1, MIX2, GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 #: Ranks are whole cells and 44 binary places.
@@ -149,12 +151,14 @@ def sketch(df: DataFrame, weights: str, bands: int, rows: int, shingle: int) ->
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for part in slices(batches):
+        for part in slices(batches, limit=SKETCHED):
             if len(hashes) > WORDS_KEPT:
                 hashes = WordHashes()
-            docs = words_of(part)
-            found = [shingles_of(words, hashes, shingle) for words in docs]
-            digests = [xxhash.xxh3_128_digest(b" ".join(words)) for words in docs]
+            found, digests = [], []
+            for text in part.column("text").cast(pa.binary()).to_pylist():
+                words = text.split() if text else []
+                found.append(shingles_of(words, hashes, shingle))
+                digests.append(xxhash.xxh3_128_digest(b" ".join(words)))
             if weights == "count":
                 pairs = [np.unique(f, return_counts=True) for f in found]
                 found, weight = [p[0] for p in pairs], np.concatenate([np.zeros(0), *(p[1] for p in pairs)])
@@ -163,8 +167,8 @@ def sketch(df: DataFrame, weights: str, bands: int, rows: int, shingle: int) ->
                 found = [np.unique(f) for f in found]
                 sizes = np.array([len(f) for f in found], np.int64)
                 weight = np.ones(int(sizes.sum()))
-            owner = np.repeat(np.arange(len(docs)), sizes)
-            signs = signatures(np.concatenate([np.zeros(0, np.uint64), *found]), weight, owner, len(docs), bands * rows)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            signs = signatures(np.concatenate([np.zeros(0, np.uint64), *found]), weight, owner, len(sizes), bands * rows)
             keys = band_keys(signs, bands, rows).view(np.int64)
             offsets = np.r_[0, np.cumsum(np.where(sizes > 0, bands, 0))].astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[sizes > 0].reshape(-1)))
