@@ -89,8 +89,13 @@ def unique_messages(df: DataFrame, key: str = "message_id") -> DataFrame:
 
 def average_over_time(samples: DataFrame, value: str = "value", ts: str = "ts",
                       size: str = "5 minutes", slide: str | None = None,
-                      by: tuple[str | Column, ...] = ()) -> DataFrame:
-    """Mean of a gauge per window; NaN where a sample is NaN, null without samples."""
+                      by: tuple[str | Column, ...] = (), grace: str = "0 seconds") -> DataFrame:
+    """Mean of a gauge per window; NaN where a sample is NaN, null without samples.
+
+    On a stream rows later than ``grace`` are dropped.
+    """
+    if samples.isStreaming:
+        samples = samples.withWatermark(ts, grace)
     window = F.window(ts, size, slide) if slide else F.window(ts, size)
     keys = [F.col(b) if isinstance(b, str) else b for b in by]
     number = F.col(value).cast("double")

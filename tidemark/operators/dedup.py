@@ -45,7 +45,8 @@ def accepted_within_ttl(deliveries: DataFrame, order: list[str], ttl: float = DA
 
     The time counts from the accepted delivery and a duplicate does not extend it; a
     delivery exactly at expiry is accepted.  ``order`` is the timestamp and a number
-    that breaks ties.  Batch, exact.
+    that breaks ties.  A delivery without a time stamp can neither expire nor be placed
+    and is never accepted; rows without an id share one.  Batch, exact.
 
     A delivery at least ``ttl`` after the one before it is always accepted and opens a
     stretch; those less than ``ttl`` after the opening are always rejected.  Both are
@@ -53,6 +54,7 @@ def accepted_within_ttl(deliveries: DataFrame, order: list[str], ttl: float = DA
     outlasts ``ttl``, depends on the deliveries accepted in between.
     """
     span = round(ttl * 1_000_000)
+    deliveries = deliveries.where(F.col(order[0]).isNotNull())
     chunked = chunk_hot(deliveries, [key], order, split_rows)
     if chunked is None:
         return _accepted_plain(deliveries, key, order, span)

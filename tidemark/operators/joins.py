@@ -17,7 +17,8 @@ JOIN_SPLIT_ROWS = 100_000
 
 def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
                   before: int = JOIN_SECONDS, after: int = JOIN_SECONDS, how: str = "inner",
-                  include_end: bool = True, split_rows: int = JOIN_SPLIT_ROWS) -> DataFrame:
+                  include_end: bool = True, split_rows: int = JOIN_SPLIT_ROWS,
+                  grace: str = "0 seconds") -> DataFrame:
     """Pairs with equal ``key`` and ``left_ts - before <= right_ts <= left_ts + after``.
 
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.  Columns other
@@ -26,7 +27,8 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     spread over tasks; every left row keeps one slot and every right row is offered
     to its own and the two neighbouring slots.  Semi and anti joins of hot keys look
     up the next right row instead, without forming pairs.  On a stream both sides get a
-    watermark, and left rows without a partner come out once it has passed.
+    watermark ``grace`` behind their newest row, and left rows without a partner come out
+    once it has passed.
     """
     pair_ts, low = F.col(right_ts), F.col(left_ts) - seconds(before)
     high = F.col(left_ts) + seconds(after)
@@ -35,8 +37,8 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     on = F.col(key) == F.col("_right_key")
 
     if left.isStreaming or right.isStreaming:
-        left = left.withWatermark(left_ts, "0 seconds")
-        right = right.withWatermark(right_ts, "0 seconds")
+        left = left.withWatermark(left_ts, grace)
+        right = right.withWatermark(right_ts, grace)
         return left.join(right, on & in_time, "left_outer" if how == "left" else how) \
                    .drop("_right_key")
 
@@ -103,7 +105,7 @@ def _has_next(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
 
 def enrich_orders(orders: DataFrame, payments: DataFrame, how: str = "inner",
                   within: int = JOIN_SECONDS, joined_at: bool = False,
-                  split_rows: int = JOIN_SPLIT_ROWS) -> DataFrame:
+                  split_rows: int = JOIN_SPLIT_ROWS, grace: str = "0 seconds") -> DataFrame:
     """Orders with the payments made within ``within`` seconds of them.
 
     With ``how="left"`` an order without such a payment is PENDING and its other
@@ -116,7 +118,7 @@ def enrich_orders(orders: DataFrame, payments: DataFrame, how: str = "inner",
                             F.col("payment_status").alias("_payment_status"),
                             F.col("created_at").alias("payment_created_at"))
     paired = interval_join(left, right, "order_id", "order_created_at", "payment_created_at",
-                           within, within, how, split_rows=split_rows)
+                           within, within, how, split_rows=split_rows, grace=grace)
     alone = F.col("payment_created_at").isNull()
     out = paired.select(
         "order_id", "customer_id", "order_amount", "items", "order_status", "order_created_at",

@@ -19,10 +19,11 @@ def stage_counters(stage_events: DataFrame) -> DataFrame:
     return stage_events.groupBy("stage").agg(F.count(F.lit(1)).alias("events"))
 
 
-def stage_throughput(stage_events: DataFrame, size: str = "1 minute", ts: str = "ts") -> DataFrame:
+def stage_throughput(stage_events: DataFrame, size: str = "1 minute", ts: str = "ts",
+                     grace: str = "0 seconds") -> DataFrame:
     """Events per window and stage, straight from the events."""
     if stage_events.isStreaming:
-        stage_events = stage_events.withWatermark(ts, "0 seconds")
+        stage_events = stage_events.withWatermark(ts, grace)
     return (stage_events.groupBy(F.window(ts, size).alias("_w"), "stage")
             .agg(F.count(F.lit(1)).alias("events"))
             .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),

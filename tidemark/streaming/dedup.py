@@ -33,10 +33,10 @@ def drop_fifo_repeats(stream: DataFrame, body: str = "body", explicit_id: str |
 def _of_batch(earlier: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Earlier rows of the ids in the batch; a batch of checked size is broadcast, so that
     the history is filtered while it is scanned instead of being shuffled."""
-    ids = batch.select(key).distinct()
+    ids = batch.select(F.col(key).alias("_id")).distinct()
     if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
-    return earlier.join(ids, key, "left_semi")
+    return earlier.join(ids, F.col(key).eqNullSafe(F.col("_id")), "left_semi")
 
 
 def accept_once(path: str, schema: T.StructType, order: list[str],
@@ -48,8 +48,9 @@ def accept_once(path: str, schema: T.StructType, order: list[str],
         batch = batch.persist()
         try:
             seen = _of_batch(tables.read(spark, path, schema, before=batch_id).select(key),
-                             batch, key)
-            fresh = first_deliveries(batch, order, key).join(seen, key, "left_anti")
+                             batch, key).select(F.col(key).alias("_seen"))
+            fresh = first_deliveries(batch, order, key).join(
+                seen, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
             tables.put(fresh.select(*schema.fieldNames()), path, batch_id)
         finally:
             batch.unpersist()
@@ -65,7 +66,7 @@ def accept_within_ttl(path: str, schema: T.StructType, order: list[str],
     Rows that an earlier batch still rules out are removed first; only the accepted
     rows no older than ``ttl`` before the batch can do that.  The others are folded
     among themselves.  A row that arrives behind an accepted one of its id is a
-    duplicate of it.
+    duplicate of it.  A row without a time stamp is never accepted.
     """
     ts, names = order[0], schema.fieldNames()
 
@@ -85,7 +86,7 @@ def accept_within_ttl(path: str, schema: T.StructType, order: list[str],
         return accepted_within_ttl(open_rows, order, ttl, key, split_rows)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.select(*names).persist()
+        batch = batch.select(*names).where(F.col(ts).isNotNull()).persist()
         try:
             tables.put(fold(batch, batch_id), path, batch_id)
         finally:
