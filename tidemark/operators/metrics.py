@@ -131,6 +131,21 @@ def bucket_quantiles(buckets: DataFrame, quantiles: tuple[float, ...] = (0.5, 0.
         F.min_by(F.when(hit, value), F.when(hit, F.col("le"))).alias("value"))
 
 
+def bucket_rate_quantiles(samples: DataFrame, order: list[str],
+                          quantiles: tuple[float, ...] = (0.5, 0.95, 0.99),
+                          by: tuple[str, ...] = (), window_seconds: int = 300,
+                          slide_seconds: int | None = None, value: str = "value",
+                          split_rows: int = SPLIT_ROWS) -> DataFrame:
+    """Quantiles per window from the growth of cumulative ``le`` bucket counters.
+
+    A rate is the growth over the window's length, so both give the same quantiles. A window
+    in which no bucket grew gives null.
+    """
+    rates = counter_rate(samples, [*by, "le"], order, window_seconds, slide_seconds, value, split_rows)
+    grown = rates.select("window_start", "window_end", *by, "le", F.col("increase").alias("cum_count"))
+    return bucket_quantiles(grown, quantiles, ("window_start", "window_end", *by))
+
+
 def _quantile_name(q: float) -> str:
     """``p05``, ``p95``, ``p99_9``: all decimals of the percentage, so that names differ."""
     whole, _, part = f"{round(q * 100, 10):.10f}".rstrip("0").rstrip(".").partition(".")

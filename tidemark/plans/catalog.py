@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -486,10 +487,16 @@ def sum_by_label(spark, sf_dir):
 @query
 def bucket_quantiles(spark, sf_dir):
     buckets = metrics.to_buckets(views.table(spark, sf_dir, "events"), "value",
-                                 (5.0, 10.0, 25.0, 50.0, 100.0, 250.0), ("event_type",))
+                                 views.BUCKET_BOUNDS, ("event_type",))
     return metrics.bucket_quantiles(buckets, by=("event_type",))
 
 
+@query
+def bucket_rate_quantiles(spark, sf_dir):
+    return metrics.bucket_rate_quantiles(views.bucket_counters(spark, sf_dir), ["ts", "event_id"],
+                                         by=("event_type",), window_seconds=3600)
+
+
 @query
 def publish_duration_summary(spark, sf_dir):
     return metrics.duration_summary(views.table(spark, sf_dir, "events"), "value",
@@ -522,15 +529,34 @@ def sustained_alerts(spark, sf_dir):
 
 # --- the same operators on the tables as streams ---------------------------------------
 
+STREAM_PARTS = 4
+
+
 def _event_stream(spark, sf_dir):
-    """Events as a stream; the pattern lets one file stand for a folder of them."""
-    schema = views.table(spark, sf_dir, "events").schema
-    return file_stream(spark, f"{sf_dir}/event[s].parquet", schema)
+    """Events as a stream of files, and the writers of its further parts.
+
+    Parts follow each other in time. The first one is there at once.
+    """
+    events, folder = views.table(spark, sf_dir, "events"), scratch(spark)
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    span = (last - first) // STREAM_PARTS + 1 if first is not None else 1
+    part = F.coalesce(F.floor((at - F.lit(first)) / span), F.lit(0))
+
+    def write(k):
+        events.where(part == k).write.mode("append").parquet(folder)
+
+    write(0)
+    return file_stream(spark, folder, events.schema), [partial(write, k) for k in range(1, STREAM_PARTS)]
 
 
-def _drain(stream, step, mode="append"):
-    """Run to the end of the input."""
-    sinks.start(stream, step, f"{scratch(stream.sparkSession)}/checkpoint", mode, every=None).awaitTermination()
+def _drain(stream, step, parts, mode="append"):
+    """Run to the end of the input; stop, let the next part come, and start again where it stopped."""
+    checkpoint = f"{scratch(stream.sparkSession)}/checkpoint"
+    sinks.start(stream, step, checkpoint, mode, every=None).awaitTermination()
+    for write in parts:
+        write()
+        sinks.start(stream, step, checkpoint, mode, every=None).awaitTermination()
 
 
 def _local(df, *names):
@@ -539,44 +565,48 @@ def _local(df, *names):
 
 @query
 def stream_orders_per_customer(spark, sf_dir):
-    counts = aggregates.orders_per_customer(views.as_orders(_event_stream(spark, sf_dir)))
+    events, parts = _event_stream(spark, sf_dir)
+    counts = aggregates.orders_per_customer(views.as_orders(events))
     out = scratch(spark)
-    _drain(counts, sinks.changelog(out), "update")
+    _drain(counts, sinks.changelog(out), parts, "update")
     return tables.latest(spark, out, counts.schema, "customer_id")
 
 
 @query
 def stream_revenue_per_minute(spark, sf_dir):
-    windows = aggregates.revenue_windows(views.as_orders(_event_stream(spark, sf_dir)))
+    events, parts = _event_stream(spark, sf_dir)
+    windows = aggregates.revenue_windows(views.as_orders(events))
     out = scratch(spark)
-    _drain(windows, sinks.changelog(out), "update")
+    _drain(windows, sinks.changelog(out), parts, "update")
     return _local(tables.latest(spark, out, windows.schema, "window_start"),
                   "window_start", "window_end")
 
 
 @query
 def stream_order_payment_inner(spark, sf_dir):
-    joined = joins.enrich_orders(views.as_orders(_event_stream(spark, sf_dir)),
-                                 views.as_payments(_event_stream(spark, sf_dir)))
+    events, parts = _event_stream(spark, sf_dir)
+    joined = joins.enrich_orders(views.as_orders(events), views.as_payments(events))
     out = scratch(spark)
-    _drain(joined, sinks.append(out))
+    _drain(joined, sinks.append(out), parts)
     return _local(tables.read(spark, out, joined.schema).drop(tables.BATCH),
                   "order_created_at", "payment_created_at")
 
 
 @query
 def stream_first_deliveries(spark, sf_dir):
-    copies = views.as_redelivered(views.as_orders(_event_stream(spark, sf_dir)))
+    events, parts = _event_stream(spark, sf_dir)
+    copies = views.as_redelivered(views.as_orders(events))
     out = scratch(spark)
-    _drain(copies, stream_dedup.accept_once(out, copies.schema, DELIVERY))
+    _drain(copies, stream_dedup.accept_once(out, copies.schema, DELIVERY), parts)
     return _local(tables.read(spark, out, copies.schema).drop(tables.BATCH), "created_at")
 
 
 @query
 def stream_dedup_ttl(spark, sf_dir):
-    copies = views.as_redelivered(views.as_orders(_event_stream(spark, sf_dir)))
+    events, parts = _event_stream(spark, sf_dir)
+    copies = views.as_redelivered(views.as_orders(events))
     out = scratch(spark)
-    _drain(copies, stream_dedup.accept_within_ttl(out, copies.schema, DELIVERY))
+    _drain(copies, stream_dedup.accept_within_ttl(out, copies.schema, DELIVERY), parts)
     return _local(tables.read(spark, out, copies.schema).drop(tables.BATCH), "created_at")
 
 

@@ -338,6 +338,21 @@ ORACLE: dict[str, str] = {
             FROM edges, (VALUES (0.5::DOUBLE), (0.95), (0.99)) q(quantile)
             WHERE cum >= q.quantile * total AND total > 0)
         SELECT event_type, quantile, arg_min(value, le) AS value FROM hits GROUP BY ALL""",
+    "bucket_rate_quantiles": """WITH samples AS (SELECT *, row_number() OVER (
+            PARTITION BY event_type ORDER BY ts, event_id) AS n FROM events),
+        counted AS (SELECT date_trunc('hour', ts) AS s, event_type, b.le,
+            CAST(count(*) FILTER (WHERE n > 1 AND value <= b.le) AS DOUBLE) AS cum
+            FROM samples, (VALUES (5.0::DOUBLE), (10.0), (25.0), (50.0), (100.0), (250.0),
+            ('inf'::DOUBLE)) b(le) GROUP BY ALL),
+        edges AS (SELECT *, coalesce(lag(le) OVER w, 0) AS low, coalesce(lag(cum) OVER w, 0)
+            AS cum_low, max(cum) OVER (PARTITION BY s, event_type) AS total FROM counted
+            WINDOW w AS (PARTITION BY s, event_type ORDER BY le)),
+        asked AS (SELECT s, event_type, q.quantile, le, cum >= q.quantile * total AND total > 0
+                AS hit, CASE WHEN isinf(le) OR cum = cum_low THEN low
+            ELSE low + (le - low) * ((q.quantile * total - cum_low) / (cum - cum_low)) END AS value
+            FROM edges, (VALUES (0.5::DOUBLE), (0.95), (0.99)) q(quantile))
+        SELECT s AS window_start, s + INTERVAL 1 HOUR AS window_end, event_type, quantile,
+            arg_min(value, le) FILTER (WHERE hit) AS value FROM asked GROUP BY ALL""",
     "publish_duration_summary": """WITH ranked AS (SELECT event_type, value,
             row_number() OVER (PARTITION BY event_type ORDER BY value) - 1 AS r,
             count(*) OVER (PARTITION BY event_type) AS n FROM events),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import seconds, short_id
-from tidemark.operators.skew import running, running_count
+from tidemark.operators.skew import running, running_count, running_sum
 from tidemark.schemas import BINDING, HEADER_BINDING
 
 COMMITTED_UNTIL = "2024-01-25 00:00:00"
@@ -178,6 +178,20 @@ def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("_n") % 500).cast("double").alias("value"))
 
 
+#: Upper bounds of the finite buckets.
+BUCKET_BOUNDS = (5.0, 10.0, 25.0, 50.0, 100.0, 250.0)
+
+
+def bucket_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cumulative bucket counters of values per event type, sampled at every event."""
+    bounds = F.array(*[F.lit(b) for b in (*BUCKET_BOUNDS, float("inf"))])
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "ts", "value", F.explode(bounds).alias("le"))
+    inside = F.when(F.col("value") <= F.col("le"), 1).otherwise(0)
+    seen = running(rows, ["event_type", "le"], ["ts", "event_id"], {"_n": running_sum(inside)})
+    return seen.select("event_type", "le", "ts", "event_id", F.col("_n").cast("double").alias("value"))
+
+
 def gauge_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = F.create_map(F.lit("type"), F.col("event_type"), F.lit("instance"),
                           F.concat(F.lit("i"), (F.col("user_id") % 3).cast("string")))
