@@ -309,6 +309,37 @@ def test_neighbours(spark):
     assert ann.search(df.where("vec_id < 0")).count() == 0
 
 
+def nearest(rows, every=20, k=20):
+    """Ids and scores of each query's best by comparing all rows: a repeated id counts once, with its best score."""
+    ids, vectors = np.array([i for i, _ in rows]), np.array([v for _, v in rows], float)
+    want = {}
+    for q in sorted({int(i) for i in ids if i % every == 0}):
+        scores = {}
+        for i, s in zip(ids.tolist(), (vectors @ vectors[ids == q].T).max(axis=1).tolist()):
+            scores[i] = max(scores.get(i, -np.inf), s)
+        want[q] = sorted(((i, s) for i, s in scores.items() if i != q), key=lambda x: (-x[1], x[0]))[:k]
+    return want
+
+
+def test_neighbours_of_repeated_ids(spark):
+    rng = np.random.default_rng(9)
+    plain = rng.normal(size=(240, 24))
+    plain[:60] = plain[rng.integers(0, 6, 60) * 10] + rng.normal(size=(60, 24)) * 0.2
+    exact = [(i, v) for i, v in enumerate(plain) for _ in range(2 + i % 29)]
+    moved = [(i, v + rng.normal(size=24) * 0.01) for i, v in exact]
+    hot = [(i, v) for i, v in enumerate(plain)] + [(7, plain[7] + rng.normal(size=24) * 0.01) for _ in range(400)]
+    for rows in (exact, moved, hot):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+        found = collections.defaultdict(list)
+        for r in ann.search(df).orderBy("query_id", "rank").collect():
+            found[r["query_id"]].append((r["vec_id"], r["score"]))
+        want = nearest(rows)
+        assert set(found) == set(want) and all(len({v for v, _ in found[q]}) == 20 for q in want)
+        assert sum(len({v for v, _ in found[q]} & {v for v, _ in want[q]}) for q in want) >= 0.99 * 20 * len(want)
+        score = {q: dict(x) for q, x in want.items()}
+        assert all(math.isclose(s, score[q][v], rel_tol=1e-9) for q in want for v, s in found[q] if v in score[q])
+
+
 def test_token_rollup(spark, awkward):
     counts = token_rollup.count_tokens(awkward.select("source", "lang", "text", F.lit(7).alias("before")), {"v1": packing.default_vocabulary()}).cache()
     rollup = token_rollup.Rollup(spark, scratch(spark))

@@ -72,11 +72,12 @@ def products(vectors: np.ndarray, queries: np.ndarray, at: np.ndarray, of: np.nd
 
 
 def best(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of each query's ``k`` best, ties to the smaller id; one place per query and id."""
-    order = np.lexsort((ids, -scores, query))
+    """Places of each query's ``k`` best, ties to the smaller id; one place per query and id, that of its best score."""
+    order = np.lexsort((-scores, ids, query))
     q, i = query[order], ids[order]
-    again = np.r_[False, (q[1:] == q[:-1]) & (i[1:] == i[:-1])]
-    order, q = order[~again], q[~again]
+    order = order[~np.r_[False, (q[1:] == q[:-1]) & (i[1:] == i[:-1])][:len(order)]]
+    order = order[np.lexsort((-scores[order], query[order]))]  # stable: equal scores stay in the order of ids
+    q = query[order]
     rank = np.arange(len(q)) - np.searchsorted(q, q, side="left")
     return order[rank < k]
 
@@ -96,9 +97,15 @@ def scan(ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, length: np.nda
             of = np.repeat(np.arange(len(queries)), k)
             scores = products(vectors[part], queries, first, of)
             scores[~other[first, of]] = -np.inf
-            floor = np.maximum(floor, scores.reshape(len(queries), k).min(axis=1))
+            # Rows of one id are one neighbour: only k different ids make a floor.
+            top = best(of, ids[part][first], scores, k)
+            least = np.full(len(queries), -np.inf)
+            least[of[top]] = scores[top]  # falling within each query
+            floor = np.maximum(floor, np.where(np.bincount(of[top], minlength=len(queries)) == k, least, -np.inf))
         at, of = np.nonzero((value + off >= floor) & other)
         scores = products(vectors[part], queries, at, of)
+        near = scores >= floor[of]
+        at, of, scores = at[near], of[near], scores[near]
         query, who, score = np.r_[held[0], of], np.r_[held[1], ids[part][at]], np.r_[held[2], scores]
         top = best(query, who, score, k)
         held = (query[top], who[top], score[top])
