@@ -340,6 +340,19 @@ def test_neighbours_of_repeated_ids(spark):
         assert all(math.isclose(s, score[q][v], rel_tol=1e-9) for q in want for v, s in found[q] if v in score[q])
 
 
+def test_copies_of_a_vector_are_dropped_before_shards(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_ROWS", 64)
+    monkeypatch.setattr(ann, "QUERY_ROWS", 8)
+    plain = np.random.default_rng(3).normal(size=(300, 24))
+    rows = [(i, v) for i, v in enumerate(plain)] + [(20, plain[20])] * 300 + [(7, plain[7])] * 300
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>").repartition(5)
+    assert ann.build_index(df)[0].count() == 300
+    found = collections.defaultdict(list)
+    for r in ann.search(df).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append(r["vec_id"])
+    assert found == {q: [v for v, _ in x] for q, x in nearest(rows).items()}
+
+
 def test_token_rollup(spark, awkward):
     counts = token_rollup.count_tokens(awkward.select("source", "lang", "text", F.lit(7).alias("before")), {"v1": packing.default_vocabulary()}).cache()
     rollup = token_rollup.Rollup(spark, scratch(spark))

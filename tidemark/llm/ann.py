@@ -121,12 +121,14 @@ def matrix(column: pa.ChunkedArray, dim: int, kind: type) -> np.ndarray:
 
 
 def build_index(df: DataFrame, key: str = "vec_id", vector: str = "embedding", seed: int = SEED) -> tuple[DataFrame, dict[int, np.ndarray]]:
-    """``vec_id, dim, code, length, match, vector`` for every usable row, and the centre for each dimension.
+    """``vec_id, dim, code, length, match, vector`` for every usable row, copies once, and the centre for each dimension.
 
     Centres are means of at most ``CENTRE_ROWS`` rows, those first in hash order.
     """
     rows = df.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")).where(
         f"vec_id IS NOT NULL AND {usable('vector')}")
+    # Copies of a row fall together wherever rows are dealt by hash; tasks drop their own before the shuffle.
+    rows = durable(rows.distinct())
     groups: dict[int, list] = {}
     for r in rows.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(CENTRE_ROWS).collect():
         groups.setdefault(len(r["vector"]), []).append(r["vector"])
