@@ -268,6 +268,23 @@ def test_toxicity(spark, awkward, empty):
     assert toxicity.train(empty, labels).weights == {} and toxicity.score_texts(empty, model).count() == 0
 
 
+def test_toxicity_of_repeated_ids(spark, monkeypatch):
+    texts = [fruit(20, i) + (" you idiot" if i % 3 == 0 else "") for i in range(90)]
+    docs, seen, fit = table(spark, texts), [], toxicity.fit
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(90)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "fit", lambda own, y, *rest: seen.append(y) or fit(own, y, *rest))
+    model = toxicity.train(docs, labels)
+    copies = docs.unionByName(docs.where("doc_id = 1").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("copy")).repartition(5)
+    again = toxicity.train(copies, labels)
+    assert again == model and [len(y) for y in seen] == [90, 90]
+    more = docs.unionByName(docs.where("doc_id = 1").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(300)))).withColumn("text", F.concat("text", F.lit(" "), "n")).drop("n"))
+    toxicity.train(more, labels, max_rows=100)
+    rows = toxicity.labelled_texts(more, labels, "toxic", "doc_id", "text", 100).collect()
+    assert len(seen[2]) == len(rows) == 100 and {r["key"] for r in rows} == set(range(90)) and len({r["text"] for r in rows}) == 100
+    toxicity.train(more, labels, max_rows=30)
+    assert len(seen[3]) == 30
+
+
 def test_warc_round_trip_and_pushdown(spark):
     long = "<p>é</p>" * 300
     pages = spark.createDataFrame([(1, "http://a/\n", long, "x"), (2, None, long, "x"), (3, "u", "short", "x"), (4, "u", "short", "x"), (5, "u", None, "x"),

@@ -3,8 +3,8 @@
 Features say which words, and which beginnings of words, a text has. Every labelled text of the
 sample that names a group gets a counterfactual in which the terms are exchanged for others of
 their set; the loss adds the squared difference of both scores, so that a mention of a group
-carries no weight of its own. The fit reads a bounded sample of labelled rows
-(``max_rows``); scoring covers every whole text.
+carries no weight of its own. The fit reads a bounded sample of labelled texts
+(``max_rows``), copies once; scoring covers every whole text.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, texts_of
+from tidemark.llm.common import durable, slices, texts_of
 
 THRESHOLD = 0.3
-#: Bounds of what the fit reads: labelled rows, and features kept of those found in them.
+#: Bounds of what the fit reads: labelled texts, and features kept of those found in them.
 MAX_ROWS, MAX_FEATURES = 20_000, 4_096
 #: A feature needs so many texts.
 LEAST_TEXTS = 3
@@ -70,13 +70,28 @@ def sample(labels: DataFrame, label: str, key: str, max_rows: int) -> DataFrame:
     return one.orderBy(F.xxhash64(F.lit(5), "key"), "key").limit(max_rows)
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, max_rows: int) -> DataFrame:
+    """``key, y, text`` of at most ``max_rows`` different texts of sampled ids.
+
+    Each id gives one text first; then further texts of repeated ids follow in hash order while
+    there is room. Nulls count as empty texts.
+    """
+    # At most max_rows narrow rows, which is the bound of each broadcast here.
+    few = F.broadcast(sample(labels, label, key, max_rows))
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(few, "key")
+    rows = rows.select("key", "y", F.xxhash64("text").alias("place"), "text")
+    pairs = durable(rows.select("key", "place").distinct())
+    first = F.broadcast(pairs.groupBy("key").agg(F.min("place").alias("first")))
+    taken = pairs.join(first, "key").orderBy(F.col("place") != F.col("first"), F.xxhash64(F.lit(5), "key", "place"), "key", "place").limit(max_rows)
+    return durable(rows.join(F.broadcast(taken.select("key", "place")), ["key", "place"]).groupBy("key", "place").agg(
+        F.first("y").alias("y"), F.min("text").alias("text"))).select("key", "y", "text")
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text",
           terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, max_rows: int = MAX_ROWS,
           max_features: int = MAX_FEATURES, fairness: float = 1.0) -> Model:
     """Fit on the texts of a sample of ``labels``; without rows of both labels, all scores are the base rate."""
-    # At most max_rows narrow rows, which is the bound of this broadcast.
-    few = F.broadcast(sample(labels, label, key, max_rows))
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(few, "key")
+    rows = labelled_texts(docs, labels, label, key, text, max_rows)
     other = swaps(terms)
     always = {f for t in other for f in word_features(t)}
 
