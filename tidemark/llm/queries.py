@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, language, mixing, neardup, packing, quality, secrets, token_rollup, toxicity, warc
+from tidemark.llm import (ann, centroids, language, mixing, neardup, packing, pieces, quality, secrets, token_rollup, toxicity,
+                          trie, warc)
 from tidemark.llm.common import durable, id_crc, read
+from tidemark.llm.oracle import ORACLE
 from tidemark.session import scratch
 
 
@@ -81,12 +83,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after ten rounds."""
+    return centroids.cluster(read(spark, sf_dir, "embeddings"))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text they decode to, as digests."""
+    return pieces.round_trip(read(spark, sf_dir, "documents"), pieces.default_model())
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of rebuilt conversations."""
+    return trie.prefix_trie(read(spark, sf_dir, "conversations")).drop("key", "parent")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language, "op2_token_counts": op2_token_counts, "op3_packing": op3_packing,
     "op4_mixing": op4_mixing, "op5_toxicity": op5_toxicity,
     "op6_warc": op6_warc, "op7_secrets": op7_secrets, "op8_neighbours": op8_neighbours,
     "op9_near_duplicates": op9_near_duplicates, "op10_quality": op10_quality,
+    "op11_centroids": op11_centroids, "op12_pieces": op12_pieces, "op13_prefix_trie": op13_prefix_trie,
 }
 
-#: None of these can be said in SQL: they learn, hash with seeds, tokenise or read positions of patterns.
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
