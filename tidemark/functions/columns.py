@@ -13,29 +13,6 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def money(amount: str | Column, scale: int = 2) -> Column:
-    """An amount rounded to ``scale`` decimals; null if it is no number or has over 38 digits.
-
-    Sums of it do not depend on row order, which sums of doubles do, and no value ends them.
-    """
-    return col(amount).try_cast(f"decimal(38,{scale})")
-
-
-def measure(value: str | Column) -> Column:
-    """A gauge, counter or duration to 12 decimals, as ``money`` is for amounts."""
-    return money(value, 12)
-
-
-def measure_sum(value: str | Column) -> Column:
-    """Sum of a measure; null when there is nothing to add."""
-    return F.try_sum(measure(value)).cast("double")
-
-
-def money_sum(amount: str | Column, scale: int = 2) -> Column:
-    """Sum of a double amount, 0.0 when there is nothing to add."""
-    return F.coalesce(F.try_sum(money(amount, scale)).cast("double"), F.lit(0.0))
-
-
 def epoch_millis(ts: str | Column) -> Column:
     return F.unix_millis(col(ts).cast("timestamp"))
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import measure_sum, epoch_millis, money, money_sum
+from tidemark.functions import exact
+from tidemark.functions.columns import epoch_millis
 from tidemark.operators.skew import SPLIT_ROWS, running, running_count, running_sum
 
 
@@ -37,11 +38,18 @@ def windowed(events: DataFrame, aggregates: dict[str, Column], size: str = "1 mi
 def revenue_windows(orders: DataFrame, size: str = "1 minute", slide: str | None = None,
                     by: tuple[str, ...] = (), statuses: tuple[str, ...] | None = None,
                     ts: str = "created_at", grace: str = "0 seconds") -> DataFrame:
-    """Revenue and order count per window, over all states unless told otherwise."""
+    """Revenue and order count per window, over all states unless told otherwise.
+
+    Revenue is the exact sum of the amounts, 0.0 where none has one.
+    """
     if statuses is not None:
         orders = orders.where(F.col("status").isin(*statuses))
-    return windowed(orders, {"total_revenue": money_sum("amount"),
-                             "order_count": F.count(F.lit(1))}, size, slide, by, ts, grace)
+    if orders.isStreaming:
+        orders = orders.withWatermark(ts, grace)
+    window = F.window(ts, size, slide) if slide else F.window(ts, size)
+    sums = exact.grouped(orders, [window.alias("window"), *by], {"total_revenue": F.col("amount")}, "order_count")
+    return sums.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *by,
+                       F.coalesce("total_revenue", F.lit(0.0)).alias("total_revenue"), "order_count")
 
 
 def revenue_records(windows: DataFrame) -> DataFrame:
@@ -62,12 +70,13 @@ def running_order_count(orders: DataFrame, order: list[str], key: str = "custome
 def running_window_revenue(orders: DataFrame, order: list[str], size: str = "1 minute",
                            ts: str = "created_at", split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Changelog of the windowed revenue: every order with the running total of its window."""
-    placed = orders.withColumn("window_start", F.window(ts, size).getField("start"))
+    placed, parts = exact.running_parts(
+        orders.withColumn("window_start", F.window(ts, size).getField("start")), F.col("amount"))
     out = running(placed, ["window_start"], order,
-                  {"running_revenue": running_sum(money("amount")),
+                  {**{name: running_sum(part) for name, part in parts.items()},
                    "running_orders": running_count()}, split_rows)
-    return out.withColumn("running_revenue",
-                          F.coalesce(F.col("running_revenue").cast("double"), F.lit(0.0)))
+    return out.select(*orders.columns, "window_start",
+                      F.coalesce(exact.running_total(out), F.lit(0.0)).alias("running_revenue"), "running_orders")
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -90,17 +99,16 @@ def unique_messages(df: DataFrame, key: str = "message_id") -> DataFrame:
 def average_over_time(samples: DataFrame, value: str = "value", ts: str = "ts",
                       size: str = "5 minutes", slide: str | None = None,
                       by: tuple[str | Column, ...] = (), grace: str = "0 seconds") -> DataFrame:
-    """Mean of a gauge per window; NaN where a sample is NaN, null without samples.
+    """Mean of a gauge per window: the exact sum over the count; null without samples.
 
-    On a stream rows later than ``grace`` are dropped.
+    NaN where a sample is NaN or infinities of both signs meet, infinite where one is. On a stream
+    rows later than ``grace`` are dropped.
     """
     if samples.isStreaming:
         samples = samples.withWatermark(ts, grace)
     window = F.window(ts, size, slide) if slide else F.window(ts, size)
     keys = [F.col(b) if isinstance(b, str) else b for b in by]
-    number = F.col(value).cast("double")
-    mean = F.when(F.bool_or(F.isnan(number)), F.lit(float("nan"))).otherwise(
-        measure_sum(number) / F.count(number))
-    return (samples.groupBy(window.alias("_w"), *keys).agg(mean.alias("average"))
-            .withColumns({"window_start": F.col("_w.start"), "window_end": F.col("_w.end")})
-            .drop("_w"))
+    sums = exact.grouped(samples, [window.alias("_w"), *keys], {"_total": F.col(value)}, counts={"_n": F.col(value)})
+    return (sums.withColumns({"average": F.col("_total") / F.when(F.col("_n") > 0, F.col("_n")),
+                              "window_start": F.col("_w.start"), "window_end": F.col("_w.end")})
+            .drop("_w", "_total", "_n"))

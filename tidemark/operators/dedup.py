@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import dedup_id, epoch_micros, money_sum
+from tidemark.functions import exact
+from tidemark.functions.columns import dedup_id, epoch_micros
 from tidemark.operators.skew import (BROADCAST_ROWS, SPLIT_ROWS, chunk_hot, previous, running,
                                      running_chunked, running_count, running_max,
                                      running_plain, running_sum, same_keys)
@@ -184,13 +185,13 @@ def fifo_accepted(messages: DataFrame, order: list[str], body: str = "body",
 
 def double_charges(deliveries: DataFrame, order: list[str], key: str = "message_id",
                    customer: str = "customer_id", amount: str = "amount") -> DataFrame:
-    """Per customer: charged without dedup, charged with it, and the difference."""
-    naive = deliveries.groupBy(customer).agg(money_sum(amount).alias("naive_total"))
-    once = (first_deliveries(deliveries.select(key, customer, amount, *order), order, key)
-            .groupBy(F.col(customer).alias("_customer"))
-            .agg(money_sum(amount).alias("_once")))
-    joined = naive.join(once, F.col(customer).eqNullSafe(F.col("_customer")), "left")
-    once_total = F.coalesce("_once", F.lit(0.0))
-    over = F.col("naive_total").cast("decimal(38,2)") - once_total.cast("decimal(38,2)")
-    return joined.select(customer, "naive_total", once_total.alias("idempotent_total"),
-                         over.cast("double").alias("overcharge"))
+    """Per customer: charged without dedup, charged with it, and the difference, each an exact sum."""
+    once = first_deliveries(deliveries.select(key, customer, amount, *order), order, key)
+    both = deliveries.select(customer, amount, F.lit(False).alias("_once")) \
+        .unionByName(once.select(customer, amount, F.lit(True).alias("_once")))
+    paid, first = F.col(amount).cast("double"), F.col("_once")
+    out = exact.grouped(both, [customer], {
+        "naive_total": F.when(~first, paid), "idempotent_total": F.when(first, paid),
+        "overcharge": F.when(first, -paid).otherwise(paid)})
+    none = F.lit(0.0)
+    return out.select(customer, *[F.coalesce(n, none).alias(n) for n in ("naive_total", "idempotent_total", "overcharge")])

@@ -7,7 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import epoch_micros, measure_sum, seconds
+from tidemark.functions import exact as sums
+from tidemark.functions.columns import epoch_micros, seconds
 from tidemark.operators.skew import SPLIT_ROWS, previous, running, running_sum
 from tidemark.session import durable
 
@@ -78,8 +79,8 @@ def counter_rate(samples: DataFrame, series: list[str], order: list[str],
     deltas = counter_deltas(samples, series, order, value, split_rows)
     window = F.window(ts, f"{window_seconds} seconds",
                       f"{slide_seconds or window_seconds} seconds")
-    increase = F.coalesce(measure_sum("delta"), F.lit(0.0))
-    out = deltas.groupBy(window.alias("_w"), *series).agg(increase.alias("increase"))
+    out = sums.grouped(deltas, [window.alias("_w"), *series], {"increase": F.col("delta")}) \
+        .withColumn("increase", F.coalesce("increase", F.lit(0.0)))
     per_second = F.col("increase") / F.lit(float(window_seconds))
     return out.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
                       *series, "increase", per_second.alias("per_second"),
@@ -88,8 +89,8 @@ def counter_rate(samples: DataFrame, series: list[str], order: list[str],
 
 def sum_by_label(samples: DataFrame, label: str, value: str = "value",
                  labels: str = "labels", by: tuple[str, ...] = ()) -> DataFrame:
-    return samples.groupBy(*by, F.col(labels)[label].alias(label)) \
-        .agg(measure_sum(value).alias("total"))
+    """Exact total of a measure per label; null where there is nothing to add."""
+    return sums.grouped(samples, [*by, F.col(labels)[label].alias(label)], {"total": F.col(value)})
 
 
 def to_buckets(df: DataFrame, value: str, bounds: tuple[float, ...],
@@ -158,23 +159,23 @@ def duration_summary(df: DataFrame, value: str, by: tuple[str, ...] = (),
     """Count, total, maximum and quantiles of durations.
 
     Quantiles come from a mergeable sketch; with ``exact`` from the ranks of the
-    distinct values, counted before they are ranked so that no group is collected.  A group
+    distinct values, counted before they are ranked so that no group is collected; everything
+    else comes from these counts, so the rows are read once.  Totals are exact sums.  A group
     without values keeps its row.
     """
     names = [_quantile_name(q) for q in quantiles]
-    base = [F.count(value).alias("count"), measure_sum(value).alias("total"),
-            F.max(value).alias("max")]
     if not exact:
-        sketch = F.percentile_approx(value, list(quantiles)).alias("_q")
-        return df.groupBy(*by).agg(*base, sketch).select(
-            *by, "count", "total", "max", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+        sketch = F.percentile_approx(value, list(quantiles))
+        out = sums.grouped(df, by, {"total": F.col(value)}, counts={"count": F.col(value)}, tops={"max": F.col(value)},
+                           others={"_q": sketch})
+        return out.select(*by, "count", "total", "max", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
     if not by:
         df, by = df.withColumn("_all", F.lit(0)), ("_all",)
-    freq = durable(df.where(F.col(value).isNotNull()).groupBy(*by, value)
-                   .agg(F.count(F.lit(1)).alias("_n")))
-    ranked = running(freq, list(by), [value], {"_upto": running_sum(F.col("_n"))}, split_rows)
-    totals = df.groupBy(*by).agg(*base)
+    freq = durable(df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n")))
+    ranked = running(freq.where(F.col(value).isNotNull()), list(by), [value], {"_upto": running_sum(F.col("_n"))}, split_rows)
+    totals = sums.grouped(freq, by, {"total": F.col(value)}, counts={"count": F.col(value)}, tops={"max": F.col(value)},
+                          weight=F.col("_n"))
     keyed = totals.select(*[F.col(b).alias(f"_g_{i}") for i, b in enumerate(by)],
                           "count", "total", "max")
     same = F.lit(True)

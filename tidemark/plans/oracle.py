@@ -61,10 +61,15 @@ def _sql(views: str, body: str) -> str:
     return ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
+def _exact(x: str, over: str = "") -> str:
+    """Exact sum: values are whole multiples of 2^-64, and text rounds once."""
+    return f"CAST(CAST(sum(CAST({x} * pow(2::DOUBLE, 64) AS HUGEINT)) {over} AS VARCHAR) AS DOUBLE) / pow(2::DOUBLE, 64)"
+
+
 def _window(size: str, extra: str = "", where: str = "") -> str:
     return f"""SELECT time_bucket(INTERVAL '{size}', created_at) AS window_start,
         time_bucket(INTERVAL '{size}', created_at) + INTERVAL '{size}' AS window_end, {extra}
-        CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+        {_exact("amount")} AS total_revenue,
         count(*) AS order_count FROM order_events {where} GROUP BY ALL"""
 
 
@@ -148,9 +153,9 @@ ORACLE: dict[str, str] = {
         total_revenue, order_count FROM ({_window("1 minute")})"""),
     "placed_revenue_per_minute": _sql("order_events",
                                       _window("1 minute", where="WHERE status = 'PLACED'")),
-    "revenue_hopping": _sql("order_events", """SELECT s AS window_start,
+    "revenue_hopping": _sql("order_events", f"""SELECT s AS window_start,
         s + INTERVAL 5 MINUTES AS window_end,
-        CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+        {_exact("amount")} AS total_revenue,
         count(*) AS order_count
         FROM (SELECT amount, unnest([date_trunc('minute', created_at) - to_minutes(i)
               FOR i IN range(5)]) AS s FROM order_events) GROUP BY s"""),
@@ -158,9 +163,9 @@ ORACLE: dict[str, str] = {
     "running_order_count": _sql("order_events", """SELECT customer_id, order_id, created_at,
         count(*) OVER (PARTITION BY customer_id ORDER BY created_at, event_id
         ROWS UNBOUNDED PRECEDING) AS order_count FROM order_events"""),
-    "running_window_revenue": _sql("order_events", """SELECT order_id,
+    "running_window_revenue": _sql("order_events", f"""SELECT order_id,
         date_trunc('minute', created_at) AS window_start,
-        CAST(sum(CAST(amount AS DECIMAL(18,2))) OVER w AS DOUBLE) AS running_revenue,
+        {_exact("amount", "OVER w")} AS running_revenue,
         count(*) OVER w AS running_orders FROM order_events
         WINDOW w AS (PARTITION BY date_trunc('minute', created_at) ORDER BY created_at, event_id
                      ROWS UNBOUNDED PRECEDING)"""),
@@ -173,9 +178,9 @@ ORACLE: dict[str, str] = {
         GROUP BY c.c_custkey"""),
     "unique_messages": _sql("order_events redelivered", """SELECT count(DISTINCT message_id)
         AS unique_messages FROM redelivered"""),
-    "avg_over_time": """SELECT event_type AS type, date_trunc('hour', ts) AS window_start,
+    "avg_over_time": f"""SELECT event_type AS type, date_trunc('hour', ts) AS window_start,
         date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
-        CAST(sum(CAST(value AS DECIMAL(38,12))) AS DOUBLE) / count(value) AS average
+        {_exact("value")} / count(value) AS average
         FROM events GROUP BY ALL""",
 
     "order_payment_inner": _join("INNER"),
@@ -205,12 +210,10 @@ ORACLE: dict[str, str] = {
     "dedup_fifo_5m": f"WITH RECURSIVE {_HASHED}" + _TTL.format(
         name="acc", key="dedup_id", ts="ts", source="keyed", ttl=300)
         + """SELECT r.* FROM keyed r JOIN acc ON r.dedup_id = acc.k AND r.ts = acc.t""",
-    "double_charge_report": _sql("order_events redelivered", """SELECT customer_id,
-        CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS naive_total,
-        CAST(sum(CASE WHEN delivery = 0 THEN CAST(amount AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE)
-            AS idempotent_total,
-        CAST(sum(CASE WHEN delivery > 0 THEN CAST(amount AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE)
-            AS overcharge
+    "double_charge_report": _sql("order_events redelivered", f"""SELECT customer_id,
+        {_exact("amount")} AS naive_total,
+        {_exact("CASE WHEN delivery = 0 THEN amount ELSE 0 END")} AS idempotent_total,
+        {_exact("CASE WHEN delivery > 0 THEN amount ELSE 0 END")} AS overcharge
         FROM redelivered GROUP BY customer_id"""),
 
     "route_direct": """SELECT CAST(event_id AS VARCHAR) AS message_id,
@@ -324,8 +327,7 @@ ORACLE: dict[str, str] = {
         FROM (SELECT date_trunc('hour', ts) AS window_start, event_type,
               CAST(coalesce(sum(CAST(delta AS DECIMAL(38,12))), 0) AS DOUBLE) AS increase
               FROM counter_deltas GROUP BY ALL)"""),
-    "sum_by_label": """SELECT 'i' || (user_id % 3) AS instance,
-        CAST(sum(CAST(value AS DECIMAL(38,12))) AS DOUBLE) AS total FROM events GROUP BY 1""",
+    "sum_by_label": f"""SELECT 'i' || (user_id % 3) AS instance, {_exact("value")} AS total FROM events GROUP BY 1""",
     "bucket_quantiles": """WITH counted AS (SELECT e.event_type, b.le,
             CAST(count(*) FILTER (WHERE e.value <= b.le) AS DOUBLE) AS cum
             FROM events e, (VALUES (5.0::DOUBLE), (10.0), (25.0), (50.0), (100.0), (250.0),
@@ -353,7 +355,7 @@ ORACLE: dict[str, str] = {
             FROM edges, (VALUES (0.5::DOUBLE), (0.95), (0.99)) q(quantile))
         SELECT s AS window_start, s + INTERVAL 1 HOUR AS window_end, event_type, quantile,
             arg_min(value, le) FILTER (WHERE hit) AS value FROM asked GROUP BY ALL""",
-    "publish_duration_summary": """WITH ranked AS (SELECT event_type, value,
+    "publish_duration_summary": f"""WITH ranked AS (SELECT event_type, value,
             row_number() OVER (PARTITION BY event_type ORDER BY value) - 1 AS r,
             count(*) OVER (PARTITION BY event_type) AS n FROM events),
         spots AS (SELECT event_type, n, q, q * (n - 1) AS spot FROM (SELECT DISTINCT event_type, n
@@ -363,7 +365,7 @@ ORACLE: dict[str, str] = {
             JOIN ranked lo ON lo.event_type = s.event_type AND lo.r = floor(s.spot)
             JOIN ranked hi ON hi.event_type = s.event_type AND hi.r = ceil(s.spot))
         SELECT e.event_type, count(*) AS count,
-            CAST(sum(CAST(e.value AS DECIMAL(38,12))) AS DOUBLE) AS total, max(e.value) AS max,
+            {_exact("e.value")} AS total, max(e.value) AS max,
             any_value(p50.v) AS p50, any_value(p95.v) AS p95, any_value(p99.v) AS p99
         FROM events e JOIN picked p50 ON p50.event_type = e.event_type AND p50.q = 0.5
         JOIN picked p95 ON p95.event_type = e.event_type AND p95.q = 0.95
