@@ -61,16 +61,28 @@ def rows_of(spark, seed):
 def test_sums_equal_fractions_in_any_order(spark, seed):
     want = {n: expected(g) for n, g in enumerate(groups())}
     df = rows_of(spark, seed)
-    narrow = exact.grouped(df, ["g"], {"s": F.col("v")}, "n", {"c": F.col("v")}, {"m": F.col("v")})
-    wide = exact.grouped(df, ["g"], {"s": F.col("v")}, others={"_o": F.count(F.lit(1))})
-    for out in (narrow, wide):
-        found = {r.g: r.s for r in out.collect()}
-        assert [n for n in want if not same(found[n], want[n])] == []
-    for r in narrow.collect():
+    rows = exact.grouped(df, ["g"], {"s": F.col("v")}, "n", {"c": F.col("v")}, {"m": F.col("v")}).collect()
+    assert [r.g for r in rows if not same(r.s, want[r.g])] == [] and len(rows) == len(want)
+    for r in rows:
         group = groups()[r.g] or [None]
         assert (r.n, r.c) == (len(group), sum(v is not None for v in group))
 
 
+def test_a_stream_adds_up_as_a_table_does(spark, tmp_path):
+    rows_of(spark, 3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("g int, v double").option("maxFilesPerTrigger", 2).parquet(str(tmp_path / "in"))
+    seen = {}
+
+    def keep(batch, _):
+        seen.update({r.g: r.s for r in batch.collect()})
+
+    sums = exact.grouped(stream, ["g"], {"s": F.col("v")})
+    sums.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", str(tmp_path / "c")) \
+        .trigger(availableNow=True).start().awaitTermination()
+    want = {n: expected(g) for n, g in enumerate(groups())}
+    assert [n for n in want if not same(seen[n], want[n])] == []
+
+
 def test_weights_and_several_sums(spark):
     df = spark.createDataFrame([(1, 0.1, 3), (1, 1e300, 2), (1, None, 5), (2, -1e300, 1)], "k int, v double, w int")
     out = exact.grouped(df, ["k"], {"a": F.col("v"), "b": -F.col("v")}, "n", {"c": F.col("v")}, weight=F.col("w"))
@@ -82,9 +94,9 @@ def test_running_sums_equal_fractions(spark, split_rows):
     rng = random.Random(8)
     values = [rng.choice([1e300, -1e300, 0.1, 1.0, 3e-300, None, 1e16]) for _ in range(60)] + [INF, 1.0]
     df = spark.createDataFrame(list(enumerate(values)), "i int, v double").withColumn("k", F.lit(1))
-    split, parts = exact.running_parts(df, F.col("v"))
-    out = running(split, ["k"], ["i"], {n: running_sum(p) for n, p in parts.items()}, split_rows)
-    found = [r.s for r in out.select("i", exact.running_total(out).alias("s")).orderBy("i").collect()]
+    parts = exact.RunningParts(df, F.col("v"))
+    out = running(parts.rows, ["k"], ["i"], {n: running_sum(p) for n, p in parts.sums().items()}, split_rows)
+    found = [r.s for r in parts.total(out, "s").orderBy("i").collect()]
     assert all(same(a, expected(values[:n + 1])) for n, a in enumerate(found))
 
 
@@ -104,3 +116,18 @@ def test_summary_without_groups_or_rows(spark):
         assert (out["count"], out["total"], out["max"]) == (2, 1e30, 1e30)
     empty = metrics.duration_summary(df.where("d > 1e40"), "d").first()
     assert (empty["count"], empty["total"]) == (0, None)
+
+
+def test_month_from_daily_sketches(spark):
+    """Ranks of merged sketches against exact ranks, far beyond the size at which sketches hold all values."""
+    df = spark.range(60_000).select(
+        (F.expr("id div 30") % 2).alias("k"), F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(id % 30)").alias("ts"),
+        ((F.col("id") * 7919) % 60_000).cast("double").alias("d"))
+    days = metrics.duration_sketches(df, "d", "1 day", ("k",))
+    assert days.count() == 60 and days.agg(F.max(F.length("sketch"))).first()[0] < 40_000
+    mine = [[i * 7919 % 60_000 for i in range(60_000) if i // 30 % 2 == k] for k in (0, 1)]
+    totals, tops = [sum(m) for m in mine], [max(m) for m in mine]
+    for r in metrics.summary_of_sketches(days, ("k",)).collect():
+        assert (r["count"], r.total, r.max) == (30_000, totals[r.k], tops[r.k])
+        for q, name in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99")):
+            assert abs(sum(x <= r[name] for x in mine[r.k]) / 30_000 - q) < 0.012

@@ -70,13 +70,13 @@ def running_order_count(orders: DataFrame, order: list[str], key: str = "custome
 def running_window_revenue(orders: DataFrame, order: list[str], size: str = "1 minute",
                            ts: str = "created_at", split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Changelog of the windowed revenue: every order with the running total of its window."""
-    placed, parts = exact.running_parts(
+    placed = exact.RunningParts(
         orders.withColumn("window_start", F.window(ts, size).getField("start")), F.col("amount"))
-    out = running(placed, ["window_start"], order,
-                  {**{name: running_sum(part) for name, part in parts.items()},
+    out = running(placed.rows, ["window_start"], order,
+                  {**{name: running_sum(part) for name, part in placed.sums().items()},
                    "running_orders": running_count()}, split_rows)
-    return out.select(*orders.columns, "window_start",
-                      F.coalesce(exact.running_total(out), F.lit(0.0)).alias("running_revenue"), "running_orders")
+    return placed.total(out, "_revenue").select(
+        *orders.columns, "window_start", F.coalesce("_revenue", F.lit(0.0)).alias("running_revenue"), "running_orders")
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:

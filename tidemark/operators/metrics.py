@@ -153,22 +153,58 @@ def _quantile_name(q: float) -> str:
     return f"p{whole.zfill(2)}" + (f"_{part}" if part else "")
 
 
+def _picked(sketch: str, quantiles: tuple[float, ...]) -> list[Column]:
+    return [F.expr(f"CASE WHEN kll_sketch_get_n_double({sketch}) > 0 THEN kll_sketch_get_quantile_double({sketch}, {float(q)}D) END")
+            .alias(_quantile_name(q)) for q in quantiles]
+
+
+def duration_sketches(df: DataFrame, value: str, size: str = "1 day", by: tuple[str, ...] = (), ts: str = "ts",
+                      sketch_size: int = 800, grace: str = "0 seconds") -> DataFrame:
+    """Per window the count, exact total, maximum and a quantile sketch, to be kept and merged later.
+
+    The sketch is a binary of bounded size: up to ``sketch_size`` values it holds them all, and ranks
+    are exact; beyond that a rank is off by about 2.3 / sketch_size^0.9 of the count (0.6 % at 800, 99 % confidence).
+    Values that are NaN are in no sketch.
+    """
+    if df.isStreaming:
+        df = df.withWatermark(ts, grace)
+    number = F.col(value)
+    out = sums.grouped(df, [F.window(ts, size).alias("_w"), *by], {"total": number}, counts={"count": number},
+                       tops={"max": number}, sketches={"sketch": number}, sketch_size=sketch_size)
+    return out.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *by, "count", "total", "max", "sketch")
+
+
+def summary_of_sketches(sketches: DataFrame, by: tuple[str, ...] = (), quantiles: tuple[float, ...] = (0.5, 0.95, 0.99),
+                        sketch_size: int = 800) -> DataFrame:
+    """Summary of a longer span from stored windows, by merging their sketches.
+
+    The error of a rank is that of one sketch over all rows. Totals add the windows' totals, each rounded once.
+    """
+    grouped = sums.grouped(sketches, by, {"total": F.col("total")}, tops={"max": F.col("max")})
+    merged = sketches.groupBy(*by).agg(F.sum("count").alias("count"), F.expr(f"kll_merge_agg_double(sketch, {sketch_size})").alias("_q"))
+    keys = [F.col(b).alias(f"_g{i}") for i, b in enumerate(by)]
+    same = F.lit(True)
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"_g{i}"))
+    return merged.join(grouped.select(*keys, "total", "max"), same).select(*by, "count", "total", "max", *_picked("_q", quantiles))
+
+
 def duration_summary(df: DataFrame, value: str, by: tuple[str, ...] = (),
                      quantiles: tuple[float, ...] = (0.5, 0.95, 0.99),
-                     exact: bool = False, split_rows: int = SPLIT_ROWS) -> DataFrame:
+                     exact: bool = False, split_rows: int = SPLIT_ROWS, sketch_size: int = 800) -> DataFrame:
     """Count, total, maximum and quantiles of durations.
 
-    Quantiles come from a mergeable sketch; with ``exact`` from the ranks of the
+    Quantiles come from a mergeable sketch, as in ``duration_sketches``; with ``exact`` from the ranks of the
     distinct values, counted before they are ranked so that no group is collected; everything
     else comes from these counts, so the rows are read once.  Totals are exact sums.  A group
     without values keeps its row.
     """
     names = [_quantile_name(q) for q in quantiles]
     if not exact:
-        sketch = F.percentile_approx(value, list(quantiles))
-        out = sums.grouped(df, by, {"total": F.col(value)}, counts={"count": F.col(value)}, tops={"max": F.col(value)},
-                           others={"_q": sketch})
-        return out.select(*by, "count", "total", "max", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+        number = F.col(value)
+        out = sums.grouped(df, by, {"total": number}, counts={"count": number}, tops={"max": number}, sketches={"_q": number},
+                           sketch_size=sketch_size)
+        return out.select(*by, "count", "total", "max", *_picked("_q", quantiles))
 
     if not by:
         df, by = df.withColumn("_all", F.lit(0)), ("_all",)

@@ -15,7 +15,7 @@ from tidemark.operators import (aggregates, contract, dedup, filters, joins, met
                                 routing)
 from tidemark.plans import views
 from tidemark.schemas import BASIC_ORDER
-from tidemark.session import scratch
+from tidemark.session import durable, scratch
 from tidemark.sources.readers import file_stream
 from tidemark.streaming import dedup as stream_dedup
 from tidemark.streaming import retry as stream_retry
@@ -503,6 +503,13 @@ def publish_duration_summary(spark, sf_dir):
                                     ("event_type",), exact=True)
 
 
+@query
+def duration_summary_of_days(spark, sf_dir):
+    """Durations of all days, from the sketches kept of each."""
+    days = metrics.duration_sketches(views.table(spark, sf_dir, "events"), "value", "1 day", ("event_type",), sketch_size=8192)
+    return metrics.summary_of_sketches(durable(days), ("event_type",), sketch_size=8192)
+
+
 @query
 def consumer_lag(spark, sf_dir):
     """Two partitions committed up to a day, the third never."""

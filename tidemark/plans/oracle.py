@@ -371,6 +371,13 @@ ORACLE: dict[str, str] = {
         JOIN picked p95 ON p95.event_type = e.event_type AND p95.q = 0.95
         JOIN picked p99 ON p99.event_type = e.event_type AND p99.q = 0.99
         GROUP BY e.event_type""",
+    # Days are added up first, so that totals round as the stored ones do.
+    "duration_summary_of_days": f"""WITH days AS (SELECT event_type, {_exact("value")} AS total FROM events
+            GROUP BY event_type, CAST(ts AS DATE)),
+        totals AS (SELECT event_type, {_exact("total")} AS total FROM days GROUP BY event_type)
+        SELECT event_type, count(value) AS count, any_value(total) AS total, max(value) AS max,
+            quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95, quantile_disc(value, 0.99) AS p99
+        FROM events JOIN totals USING (event_type) GROUP BY event_type""",
     "consumer_lag": _sql("topic_log", """, ends AS (SELECT topic, "partition",
             max("offset") + 1 AS end_offset, max("offset") FILTER (WHERE "partition" <> 2
             AND ts < TIMESTAMP '2024-01-25') + 1 AS next_offset FROM topic_log GROUP BY ALL)
