@@ -39,35 +39,73 @@ def rotation(dim: int, seed: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def exponents(rows: np.ndarray) -> np.ndarray:
+    """Per row the power of two that its largest component stays below."""
+    return np.frexp(np.abs(rows).max(axis=1, initial=0.0))[1]
+
+
 def encode(vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Packed codes, distances from the centre, and inner products of unit differences with their codes."""
-    difference = (vectors - centre) @ turn
+    """Packed codes, distances from the centre, and inner products of unit differences with their codes.
+
+    Rows are scaled by powers of two on the way, so no component is too small or too large to be
+    squared; a distance that no double holds is infinite.
+    """
+    power = np.maximum(exponents(vectors), exponents(centre[None, :]))[:, None] + 1
+    difference = (np.ldexp(vectors, -power) - np.ldexp(centre, -power)) @ turn
     length = np.linalg.norm(difference, axis=1)
     code = difference > 0
     match = np.abs(difference).sum(axis=1) / math.sqrt(vectors.shape[1]) / np.where(length > 0, length, 1)
-    return np.packbits(code, axis=1), length, np.where(length > 0, match, 1.0)
+    with np.errstate(over="ignore"):
+        return np.packbits(code, axis=1), np.ldexp(length, power[:, 0]), np.where(length > 0, match, 1.0)
 
 
 def estimates(codes: np.ndarray, length: np.ndarray, match: np.ndarray, queries: np.ndarray, centre: np.ndarray,
-              turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products (vectors by queries), and how far they may be off."""
+              turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Estimated inner products (vectors by queries), how far they may be off, and their power of two.
+
+    Queries have components below 1; lengths and centre are divided by a common power of two.
+    Estimates of vectors with an infinite length are no numbers.
+    """
     dim = queries.shape[1]
+    finite = np.where(np.isfinite(length), length, 0.0)
+    power = int(max(np.frexp(finite.max(initial=0.0))[1], exponents(centre[None, :])[0]))
+    length, centre = np.where(np.isfinite(length), np.ldexp(finite, -power), np.nan), np.ldexp(centre, -power)
     signs = np.unpackbits(codes, axis=1, count=dim).astype(np.float32) * 2 - 1
     turned = (queries @ turn).astype(np.float32)
     scale = (length / match / math.sqrt(dim)).astype(np.float32)
     value = (signs @ turned.T) * scale[:, None] + (queries @ centre).astype(np.float32)
     spread = length * np.sqrt(np.maximum(1 - match ** 2, 0)) / match / math.sqrt(max(dim - 1, 1))
     size = np.linalg.norm(queries, axis=1)
-    off = ERRORS * spread[:, None] * size + 1e-5 * ((length + np.linalg.norm(centre))[:, None] * size + 1)
-    return value, off.astype(np.float32)
+    off = ERRORS * spread[:, None] * size + 1e-5 * ((length + np.linalg.norm(centre))[:, None] * size + 1e-20)
+    return value, off.astype(np.float32), power
+
+
+def scaled_floor(floor: np.ndarray, power: np.ndarray, dim: int) -> np.ndarray:
+    """Scores divided by powers of two, less what double precision may have lost of them."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        least = np.ldexp(np.clip(floor, -np.finfo(float).max, np.finfo(float).max), -power) - np.ldexp(dim * 2.0 ** -1073, -power)
+    return np.where(np.isneginf(floor) | np.isnan(least), -np.inf, least)
 
 
 def products(vectors: np.ndarray, queries: np.ndarray, at: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """Exact inner products of pairs, in double precision and a fixed order of addition."""
+    """Exact inner products of pairs, in double precision and a fixed order of addition.
+
+    A product beyond the largest double is infinite, never undefined.
+    """
     found = np.empty(len(at))
     for i in range(0, len(at), 65_536):
         part = slice(i, i + 65_536)
-        found[part] = (vectors[at[part]] * queries[of[part]]).sum(axis=1)
+        v, q = vectors[at[part]], queries[of[part]]
+        with np.errstate(over="ignore", invalid="ignore"):
+            score = (v * q).sum(axis=1)
+        lost = np.flatnonzero(~np.isfinite(score))
+        if len(lost):  # too large on the way: the same at a smaller size
+            v, q = v[lost], q[lost]
+            power = exponents(v) + exponents(q)
+            total = (np.ldexp(v, -exponents(v)[:, None]) * np.ldexp(q, -exponents(q)[:, None])).sum(axis=1)
+            with np.errstate(over="ignore"):
+                score[lost] = np.ldexp(total, power)
+        found[part] = score
     return found
 
 
@@ -87,13 +125,15 @@ def scan(ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, length: np.nda
     """Query places, ids and exact scores of the best ``k`` of a block for each query."""
     held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     floor = np.full(len(queries), -np.inf)
+    sizes = exponents(queries)
+    small = np.ldexp(queries, -sizes[:, None])
     for a in range(0, len(ids), CHUNK):
         part = slice(a, a + CHUNK)
-        value, off = estimates(codes[part], length[part], match[part], queries, centre, turn)
+        value, off, power = estimates(codes[part], length[part], match[part], small, centre, turn)
         other = ids[part][:, None] != query_ids
         if np.isinf(floor).any() and len(value) > k:
             # The first exact scores are those of the best estimates.
-            first = np.argpartition(-np.where(other, value, -np.inf), k, axis=0)[:k].T.ravel()
+            first = np.argpartition(-np.where(other, np.nan_to_num(value, nan=np.inf), -np.inf), k, axis=0)[:k].T.ravel()
             of = np.repeat(np.arange(len(queries)), k)
             scores = products(vectors[part], queries, first, of)
             scores[~other[first, of]] = -np.inf
@@ -102,7 +142,7 @@ def scan(ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, length: np.nda
             least = np.full(len(queries), -np.inf)
             least[of[top]] = scores[top]  # falling within each query
             floor = np.maximum(floor, np.where(np.bincount(of[top], minlength=len(queries)) == k, least, -np.inf))
-        at, of = np.nonzero((value + off >= floor) & other)
+        at, of = np.nonzero(~(value + off < scaled_floor(floor, sizes + power, queries.shape[1])) & other)
         scores = products(vectors[part], queries, at, of)
         near = scores >= floor[of]
         at, of, scores = at[near], of[near], scores[near]
@@ -132,7 +172,7 @@ def build_index(df: DataFrame, key: str = "vec_id", vector: str = "embedding", s
     groups: dict[int, list] = {}
     for r in rows.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(CENTRE_ROWS).collect():
         groups.setdefault(len(r["vector"]), []).append(r["vector"])
-    centres = {dim: np.mean(found, axis=0) for dim, found in sorted(groups.items())}
+    centres = {dim: (np.array(found) / len(found)).sum(axis=0) for dim, found in sorted(groups.items())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turns = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ SLICE_BYTES = 4 << 20
 #: The words of the contracts: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "durable", "id_crc", "read", "slices", "texts_of", "words_of"]
+__all__ = ["WORD", "durable", "give_back", "id_crc", "read", "slices", "texts_of", "words_of"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,9 +30,20 @@ def id_crc(column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")), F.lit(0).cast("long"))
 
 
+def give_back() -> None:
+    """Return freed memory to the system; Python workers live on after their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the texts of a slice have ``limit`` bytes, or one row, at most."""
+    """Cut batches so that the texts of a slice have ``limit`` bytes, or one row, at most.
+
+    What a batch has left is given back before the next one is read.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -43,6 +55,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             stop = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
             yield batch.slice(at, stop - at)
             at = stop
+        del batch
+        give_back()
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:

@@ -23,18 +23,22 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens by source, language and tokenizer of the documents that have any.
+    """Tokens of all documents by source, language and version of the tokenizer.
 
-    A first batch inserts every document with an estimate. The second revises the estimates to
-    counts and deletes documents without tokens; it is delivered twice. Then batches are folded.
+    A first batch inserts every document with an estimate and a second revises the estimates to
+    counts. A third withdraws the documents without tokens and a fourth brings them back. Each is delivered
+    twice, and batches are folded before the last.
     """
     docs = read(spark, sf_dir, "documents").select("source", "lang", "text", F.ceil(F.coalesce(F.length("text"), F.lit(0)) / 4).alias("before"))
-    counts = durable(token_rollup.count_tokens(docs, {"byte_bpe_50k": packing.default_vocabulary()}))
-    rollup = token_rollup.Rollup(spark, scratch(spark))
-    rollup.commit("load", token_rollup.inserted(counts.withColumn("tokens", F.col("before"))))
+    counts = durable(token_rollup.count_tokens(docs, token_rollup.default_vocabularies()))
+    rollup, bare = token_rollup.Rollup(spark, scratch(spark)), counts.where("tokens = 0")
     for _ in range(2):
-        rollup.commit("count", token_rollup.revised(counts), token_rollup.deleted(counts.where("tokens = 0")))
+        rollup.commit("load", token_rollup.inserted(counts.withColumn("tokens", F.col("before"))))
+        rollup.commit("count", token_rollup.revised(counts))
+        rollup.commit("withdraw", token_rollup.deleted(bare))
     rollup.compact()
+    for _ in range(2):
+        rollup.commit("restore", token_rollup.inserted(bare))
     return rollup.totals()
 
 

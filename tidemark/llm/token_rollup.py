@@ -8,8 +8,9 @@ folder and changes nothing; one that broke off has left no finished folder and i
 
 from __future__ import annotations
 
+import base64
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,25 @@ GROUP = ("source", "lang", "tokenizer")
 SUMS = "source string, lang string, tokenizer string, docs long, tokens long"
 
 
+def default_vocabularies() -> dict[str, str]:
+    import public_tokenizers
+
+    return {n: public_tokenizers.path(f) for n, f in (("byte_bpe_50k", "byte_bpe_50k.json"), ("byte_bpe_multi_50k", "byte_bpe_multi_50k.tiktoken"))}
+
+
+def encoder_of(path: str) -> Callable[[list[str]], list[list[int]]]:
+    """Encoder of a vocabulary file of ``tokenizers``, or of ranks for ``tiktoken``."""
+    if not path.endswith(".tiktoken"):
+        return Encoder(path)
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, "rb") as file:
+        ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, file)}
+    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return lambda texts: [fast.encode_ordinary(t) for t in texts]
+
+
 def count_tokens(df: DataFrame, vocabularies: dict[str, str], text: str = "text") -> DataFrame:
     """Rows of ``df`` (``source``, ``lang`` and what else it has but the text) once per tokenizer version, with ``tokens``.
 
@@ -31,7 +51,7 @@ def count_tokens(df: DataFrame, vocabularies: dict[str, str], text: str = "text"
     rows = df.select(*rest, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders = {name: Encoder(path) for name, path in vocabularies.items()}
+        encoders = {name: encoder_of(path) for name, path in vocabularies.items()}
         for part in slices(batches, text):
             texts, kept = texts_of(part, text), [part.column(c) for c in rest]
             for name, encoder in encoders.items():
