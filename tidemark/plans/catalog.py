@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +16,8 @@ from tidemark.plans import views
 from tidemark.schemas import BASIC_ORDER
 from tidemark.session import durable, scratch
 from tidemark.sources.readers import file_stream
-from tidemark.streaming import dedup as stream_dedup
-from tidemark.streaming import retry as stream_retry
-from tidemark.streaming import sinks, tables
+from tidemark.streaming import keyed, sinks, tables
+from tidemark.streaming.upsert import UpsertTable, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -269,10 +267,7 @@ def dedup_ttl_24h(spark, sf_dir):
 @query
 def dedup_fifo_5m(spark, sf_dir):
     """Queue messages by user, where an error carries its own id and others only a body."""
-    events = views.table(spark, sf_dir, "events")
-    own = F.when(F.col("event_type") == "error", F.concat(F.lit("err-"), F.col("user_id") % 20))
-    body = F.concat_ws("|", "event_type", F.col("user_id") % 40)
-    messages = events.select("event_id", "ts", own.alias("own_id"), body.alias("body"))
+    messages = views.queue_messages(views.table(spark, sf_dir, "events"))
     return dedup.fifo_accepted(messages, ["ts", "event_id"], explicit_id="own_id")
 
 
@@ -536,13 +531,13 @@ def sustained_alerts(spark, sf_dir):
 
 # --- the same operators on the tables as streams ---------------------------------------
 
-STREAM_PARTS = 4
+STREAM_PARTS, PART_FILES = 4, 8
 
 
 def _event_stream(spark, sf_dir):
-    """Events as a stream of files, and the writers of its further parts.
+    """Events as a stream of files, and the writers of its parts.
 
-    Parts follow each other in time. The first one is there at once.
+    Parts follow each other in time. Each is a micro-batch of ``PART_FILES`` files at most.
     """
     events, folder = views.table(spark, sf_dir, "events"), scratch(spark)
     at = F.unix_seconds(F.col("ts").cast("timestamp"))
@@ -551,19 +546,21 @@ def _event_stream(spark, sf_dir):
     part = F.coalesce(F.floor((at - F.lit(first)) / span), F.lit(0))
 
     def write(k):
-        events.where(part == k).write.mode("append").parquet(folder)
+        events.where(part == k).repartition(PART_FILES).write.mode("append").parquet(folder)
 
     write(0)
-    return file_stream(spark, folder, events.schema), [partial(write, k) for k in range(1, STREAM_PARTS)]
+    return file_stream(spark, folder, events.schema, max_files=PART_FILES), [partial(write, k) for k in range(1, STREAM_PARTS)]
 
 
 def _drain(stream, step, parts, mode="append"):
-    """Run to the end of the input; stop, let the next part come, and start again where it stopped."""
+    """Run over the first half of the parts; stop, let the rest come, and start again where it stopped."""
     checkpoint = f"{scratch(stream.sparkSession)}/checkpoint"
-    sinks.start(stream, step, checkpoint, mode, every=None).awaitTermination()
-    for write in parts:
-        write()
+    half = len(parts) // 2
+    for arriving in (parts[:half], parts[half:]):
+        for write in arriving:
+            write()
         sinks.start(stream, step, checkpoint, mode, every=None).awaitTermination()
+    return checkpoint
 
 
 def _local(df, *names):
@@ -574,19 +571,27 @@ def _local(df, *names):
 def stream_orders_per_customer(spark, sf_dir):
     events, parts = _event_stream(spark, sf_dir)
     counts = aggregates.orders_per_customer(views.as_orders(events))
-    out = scratch(spark)
-    _drain(counts, sinks.changelog(out), parts, "update")
-    return tables.latest(spark, out, counts.schema, "customer_id")
+    table = UpsertTable(spark, scratch(spark), counts.schema, ["customer_id"], fold=2)
+    _drain(counts, upsert(table), parts, "update")
+    return table.read()
+
+
+@query
+def stream_state_counts(spark, sf_dir):
+    """The counts as the state store of the query holds them."""
+    events, parts = _event_stream(spark, sf_dir)
+    counts = aggregates.orders_per_customer(views.as_orders(events))
+    checkpoint = _drain(counts, lambda batch, batch_id: batch.write.format("noop").mode("overwrite").save(), parts, "update")
+    return sinks.stored_state(spark, checkpoint).select("key.customer_id", F.col("value.count").alias("order_count"))
 
 
 @query
 def stream_revenue_per_minute(spark, sf_dir):
     events, parts = _event_stream(spark, sf_dir)
     windows = aggregates.revenue_windows(views.as_orders(events))
-    out = scratch(spark)
-    _drain(windows, sinks.changelog(out), parts, "update")
-    return _local(tables.latest(spark, out, windows.schema, "window_start"),
-                  "window_start", "window_end")
+    table = UpsertTable(spark, scratch(spark), windows.schema, ["window_start"], fold=2)
+    _drain(windows, upsert(table), parts, "update")
+    return _local(table.read(), "window_start", "window_end")
 
 
 @query
@@ -599,40 +604,39 @@ def stream_order_payment_inner(spark, sf_dir):
                   "order_created_at", "payment_created_at")
 
 
+def _kept(spark, stream, parts, *times):
+    """Rows that a stream in append mode has let through."""
+    out = scratch(spark)
+    _drain(stream, sinks.append(out), parts)
+    return _local(tables.read(spark, out, stream.schema).drop(tables.BATCH), *times)
+
+
 @query
 def stream_first_deliveries(spark, sf_dir):
     events, parts = _event_stream(spark, sf_dir)
     copies = views.as_redelivered(views.as_orders(events))
-    out = scratch(spark)
-    _drain(copies, stream_dedup.accept_once(out, copies.schema, DELIVERY), parts)
-    return _local(tables.read(spark, out, copies.schema).drop(tables.BATCH), "created_at")
+    return _kept(spark, keyed.keep_once(copies, DELIVERY), parts, "created_at")
 
 
 @query
 def stream_dedup_ttl(spark, sf_dir):
     events, parts = _event_stream(spark, sf_dir)
     copies = views.as_redelivered(views.as_orders(events))
-    out = scratch(spark)
-    _drain(copies, stream_dedup.accept_within_ttl(out, copies.schema, DELIVERY), parts)
-    return _local(tables.read(spark, out, copies.schema).drop(tables.BATCH), "created_at")
+    return _kept(spark, keyed.keep_within_ttl(copies, DELIVERY), parts, "created_at")
+
+
+@query
+def stream_dedup_fifo(spark, sf_dir):
+    events, parts = _event_stream(spark, sf_dir)
+    return _kept(spark, keyed.keep_fifo(views.queue_messages(events), ["ts", "event_id"], explicit_id="own_id"), parts, "ts")
 
 
 @query
 def stream_retry_outcomes(spark, sf_dir):
-    """Errors fail three times and sign-ups for ever; batches on a clock of 10 s steps."""
+    """Errors fail three times and sign-ups for ever; whoever waits beyond the end of event time is not there yet."""
+    events, parts = _event_stream(spark, sf_dir)
     kind = F.col("event_type")
-    orders = views.order_events(spark, sf_dir).select(
-        "message_id", F.when(kind == "error", 4).when(kind == "signup", 99).otherwise(1)
-        .alias("heals_at"))
-    flow = stream_retry.RetryTables(scratch(spark))
-    ticks = iter(range(0, 60, 10))
-    step = stream_retry.retry_flow(
-        flow, orders.schema, F.col("attempt") < F.col("heals_at"),
-        clock=lambda batch: datetime.fromtimestamp(next(ticks), timezone.utc))
-    step(orders, 0)
-    for batch_id in range(1, 5):
-        step(orders.where(F.lit(False)), batch_id)
-    tried = T.StructType(list(orders.schema.fields)).add("attempt", T.IntegerType())
-    ok = tables.read(spark, flow.ok, tried).withColumn("state", F.lit("OK"))
-    dead = tables.read(spark, flow.dead, tried).withColumn("state", F.lit("DEAD"))
-    return ok.unionByName(dead).drop(tables.BATCH)
+    orders = views.as_orders(events).select(
+        "message_id", F.when(kind == "error", 4).when(kind == "signup", 99).otherwise(1).alias("heals_at"), "created_at")
+    done = keyed.retry_ladder(orders, F.col("attempt") < F.col("heals_at"))
+    return _kept(spark, done, parts, "created_at", "finished_at")

@@ -405,9 +405,13 @@ ORACLE.update({
     "stream_order_payment_inner": ORACLE["order_payment_inner"],
     "stream_first_deliveries": ORACLE["dedup_first_delivery"],
     "stream_dedup_ttl": ORACLE["dedup_ttl_24h"],
-    "stream_retry_outcomes": """SELECT CAST(event_id AS VARCHAR) AS message_id,
-        CAST(CASE event_type WHEN 'error' THEN 4 WHEN 'signup' THEN 99 ELSE 1 END AS INTEGER)
-            AS heals_at,
-        CAST(CASE WHEN event_type IN ('error', 'signup') THEN 4 ELSE 1 END AS INTEGER) AS attempt,
-        CASE WHEN event_type = 'signup' THEN 'DEAD' ELSE 'OK' END AS state FROM events""",
+    "stream_dedup_fifo": ORACLE["dedup_fifo_5m"],
+    "stream_state_counts": ORACLE["orders_per_customer"],
+    # Event time ends an hour before the newest event; what is due later is still waiting.
+    "stream_retry_outcomes": """SELECT * FROM (SELECT CAST(event_id AS VARCHAR) AS message_id,
+            CAST(CASE event_type WHEN 'error' THEN 4 WHEN 'signup' THEN 99 ELSE 1 END AS INTEGER) AS heals_at,
+            ts AS created_at, CAST(CASE WHEN event_type IN ('error', 'signup') THEN 4 ELSE 1 END AS INTEGER) AS attempt,
+            CASE WHEN event_type = 'signup' THEN 'DEAD' ELSE 'OK' END AS state,
+            CASE WHEN event_type IN ('error', 'signup') THEN ts + INTERVAL 30 SECONDS ELSE ts END AS finished_at FROM events)
+        WHERE attempt = 1 OR finished_at <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
 })

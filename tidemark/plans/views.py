@@ -84,6 +84,13 @@ def redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_redelivered(order_events(spark, sf_dir))
 
 
+def queue_messages(events: DataFrame) -> DataFrame:
+    """Messages by user, where an error carries its own id and others only a body."""
+    own = F.when(F.col("event_type") == "error", F.concat(F.lit("err-"), F.col("user_id") % 20))
+    body = F.concat_ws("|", "event_type", F.col("user_id") % 40)
+    return events.select("event_id", "ts", own.alias("own_id"), body.alias("body"))
+
+
 def job_messages(spark: SparkSession, sf_dir: str, exchange: str) -> DataFrame:
     key = _by_type(purchase="order.placed", view="order.item.viewed", click="payment.success",
                    error="payment.failed", signup="inventory.low")
