@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import topic_regex, topic_subject
+from tidemark.operators.bindings import BROADCAST_ROWS, by_headers, by_pattern, deliver
 from tidemark.operators.skew import SPLIT_ROWS, previous, running, running_count
 
 #: Binding tables of up to so many rows become literals; the answer is the same either way.
 INLINE_BINDINGS = 200
-#: Joined binding tables of up to so many rows are broadcast; it steers the plan only.
-BROADCAST_BINDINGS = 20_000
 
 
 def _wildcard(binding_key: str) -> bool:
@@ -41,14 +40,14 @@ def _inline_match(b, subject: Column) -> Column:
 
 def route(messages: DataFrame, bindings: DataFrame, keep_unroutable: bool = False,
           inline_limit: int = INLINE_BINDINGS,
-          broadcast_limit: int = BROADCAST_BINDINGS) -> DataFrame:
+          broadcast_limit: int = BROADCAST_ROWS) -> DataFrame:
     """One row per message and queue it reaches; ``queue`` is null for no queue if kept.
 
     Messages carry ``exchange`` and ``routing_key``; bindings ``exchange``,
     ``exchange_type``, ``binding_key``, ``queue``.  A queue gets one copy even if
     several bindings match.  A null routing or binding key matches nothing but a fan-out; a
     binding without a queue delivers nothing.  A small binding table becomes literals in a
-    projection; any other is joined, on batches and streams alike, with equal results.
+    projection; any other is a trie that messages walk by joins, with equal results.
     """
     prepared = _usable(bindings)
     found = prepared.limit(inline_limit + 1).collect()
@@ -77,44 +76,16 @@ def _burst(messages: DataFrame, hits: list[Column], keep_unroutable: bool = Fals
 
 def _route_joined(messages: DataFrame, prepared: DataFrame, keep_unroutable: bool,
                   broadcast_limit: int) -> DataFrame:
-    """Look up exact keys and test an exchange's patterns by joins with tables of bindings.
-
-    The tables have one row per exchange and key, and per exchange, so no message is repeated
-    before its queues are known.  A batch does so once per distinct routing key; a stream, which
-    can't tell distinct keys without state, for each message.
-    """
-    parts = F.split("binding_key", r"\.")
-    fan = F.col("exchange_type") == "FANOUT"
-    wild = (F.col("exchange_type") == "TOPIC") & F.arrays_overlap(parts, F.array(F.lit("*"), F.lit("#")))
-    loose = fan | F.coalesce(wild, F.lit(False))
-    exact = prepared.where(~loose).groupBy(F.col("exchange").alias("_xe"), F.col("binding_key").alias("_xk")) \
-        .agg(F.collect_set("queue").alias("_exact"))
-    tests = prepared.where(loose).groupBy(F.col("exchange").alias("_le")) \
-        .agg(F.collect_set(F.struct(fan.alias("all"), F.col("_regex").alias("regex"), "queue")).alias("_loose"))
-    none = F.array().cast("array<string>")
-    if prepared.limit(broadcast_limit + 1).count() <= broadcast_limit:
-        exact, tests = F.broadcast(exact), F.broadcast(tests)
-
-    def hit(test: Column) -> Column:
-        return test["all"] | F.coalesce(F.call_function("rlike", F.col("_subject"), test["regex"]), F.lit(False))
-
-    def queues(df: DataFrame) -> DataFrame:
-        joined = (df.withColumn("_subject", topic_subject("routing_key"))
-                  .join(exact, (F.col("exchange") == F.col("_xe")) & (F.col("routing_key") == F.col("_xk")), "left")
-                  .join(tests, F.col("exchange") == F.col("_le"), "left"))
-        matched = F.coalesce(F.transform(F.filter("_loose", hit), lambda t: t["queue"]), none)
-        found = F.array_sort(F.array_distinct(F.concat(F.coalesce("_exact", none), matched)))
-        return joined.withColumn("_queues", found)
-
+    """Walk the trie of binding keys: a batch once per distinct routing key, a stream with each message."""
     if messages.isStreaming:
-        held = queues(messages).drop("_subject", "_xe", "_xk", "_exact", "_le", "_loose")
-    else:
-        keys = queues(messages.select("exchange", "routing_key").distinct()).where(F.size("_queues") > 0) \
-            .select(F.col("exchange").alias("_re"), F.col("routing_key").alias("_rk"), "_queues")
-        on = (F.col("exchange") == F.col("_re")) & F.col("routing_key").eqNullSafe(F.col("_rk"))
-        held = messages.join(keys, on, "left" if keep_unroutable else "inner").drop("_re", "_rk")
-    burst = F.explode_outer if keep_unroutable else F.explode
-    return held.select("*", burst("_queues").alias("queue")).drop("_queues")
+        found = by_pattern(messages.withColumn("_uid", F.uuid()), prepared, keep_unroutable, broadcast_limit)
+        return deliver(found, messages.schema)
+    keys = messages.select("exchange", "routing_key").distinct() \
+        .withColumn("_uid", F.coalesce("routing_key", F.lit("")))
+    queues = by_pattern(keys, prepared, False, broadcast_limit) \
+        .select(F.col("exchange").alias("_re"), F.col("routing_key").alias("_rk"), "queue").distinct()
+    on = (F.col("exchange") == F.col("_re")) & F.col("routing_key").eqNullSafe(F.col("_rk"))
+    return messages.join(queues, on, "left" if keep_unroutable else "inner").drop("_re", "_rk")
 
 
 def unroutable(messages: DataFrame, bindings: DataFrame) -> DataFrame:
@@ -124,7 +95,8 @@ def unroutable(messages: DataFrame, bindings: DataFrame) -> DataFrame:
 
 
 def route_by_headers(messages: DataFrame, bindings: DataFrame,
-                     inline_limit: int = INLINE_BINDINGS) -> DataFrame:
+                     inline_limit: int = INLINE_BINDINGS,
+                     broadcast_limit: int = BROADCAST_ROWS) -> DataFrame:
     """Route on message attributes: a binding asks for ``all`` or ``any`` of its headers.
 
     ``match`` may be written in either case; anything but "any" means all.  A binding without
@@ -135,7 +107,7 @@ def route_by_headers(messages: DataFrame, bindings: DataFrame,
         .select("exchange", "headers", asks_any.alias("_any"), "queue")
     found = usable.limit(inline_limit + 1).collect()
     if len(found) > inline_limit:
-        return _route_headers_joined(messages, usable)
+        return _route_headers_joined(messages, usable, broadcast_limit)
     by_queue: dict[str, list[Column]] = {}
     for b in found:
         tests = [F.coalesce(F.col("headers")[k] == v, F.lit(False))
@@ -148,21 +120,17 @@ def route_by_headers(messages: DataFrame, bindings: DataFrame,
     return _burst(messages, hits)
 
 
-def _route_headers_joined(messages: DataFrame, usable: DataFrame) -> DataFrame:
-    """Header routing by a join with one row of tests per exchange; works on streams."""
-    entries = F.array_sort(F.map_entries("headers"))
-    tests = usable.groupBy(F.col("exchange").alias("_he")) \
-        .agg(F.collect_set(F.struct("_any", entries.alias("wants"), "queue")).alias("_tests"))
-
-    def hit(test: Column) -> Column:
-        def has(e: Column) -> Column:
-            return F.coalesce(F.try_element_at("headers", e["key"]) == e["value"], F.lit(False))
-
-        return F.when(test["_any"], F.exists(test["wants"], has)).otherwise(F.forall(test["wants"], has))
-
-    reached = F.array_distinct(F.transform(F.filter("_tests", hit), lambda t: t["queue"]))
-    return messages.join(tests, F.col("exchange") == F.col("_he")) \
-        .select(*messages.columns, F.explode(reached).alias("queue"))
+def _route_headers_joined(messages: DataFrame, usable: DataFrame, broadcast_limit: int) -> DataFrame:
+    """Look up postings of headers: a batch once per distinct set of headers, a stream with each message."""
+    if messages.isStreaming:
+        return deliver(by_headers(messages.withColumn("_uid", F.uuid()), usable, broadcast_limit), messages.schema)
+    own = F.array_sort(F.coalesce(F.map_entries("headers"), F.map_entries(F.create_map().cast("map<string,string>"))))
+    sets = messages.select("exchange", own.alias("_set")).distinct() \
+        .select("exchange", "_set", F.map_from_entries("_set").alias("headers"), F.xxhash64("_set").alias("_uid"))
+    queues = by_headers(sets, usable, broadcast_limit) \
+        .select(F.col("exchange").alias("_he"), F.col("_set").alias("_hs"), "queue").distinct()
+    return messages.withColumn("_set", own).join(queues, (F.col("exchange") == F.col("_he")) & (F.col("_set") == F.col("_hs"))) \
+        .select(*messages.columns, "queue")
 
 
 # --- keys and partitions ---------------------------------------------------------------
