@@ -46,10 +46,12 @@ def throughput_change(throughput: DataFrame, period_seconds: int = 86_400,
     """Each window beside the same window one period earlier; null where there was none.
 
     Works on aggregated windows, so a stage has at most one row per window size, and a
-    range frame finds the earlier row without a self-join.
+    range frame finds the earlier row without a self-join. Only windows of the same phase
+    of the period meet in a task.
     """
-    back = -period_seconds * 1_000_000
-    w = Window.partitionBy(*by).orderBy(epoch_micros("window_start")).rangeBetween(back, back)
+    span = period_seconds * 1_000_000
+    start = epoch_micros("window_start")
+    w = Window.partitionBy(*by, F.pmod(start, F.lit(span))).orderBy(start).rangeBetween(-span, -span)
     return (throughput.withColumn("events_before", F.sum("events").over(w))
             .select("window_start", *by, "events", "events_before",
                     (F.col("events") / F.col("events_before")).alias("ratio")))
@@ -251,19 +253,45 @@ def consumer_lag(log: DataFrame, commits: DataFrame) -> DataFrame:
 
 
 def sustained_alerts(rates: DataFrame, series: list[str], threshold: float, slide_seconds: int,
-                     hold_seconds: int = 120, rate: str = "per_second") -> DataFrame:
+                     hold_seconds: int = 120, rate: str = "per_second",
+                     block_rows: int = SPLIT_ROWS) -> DataFrame:
     """Stretches of consecutive windows over the threshold that last at least the hold time.
 
-    Works on aggregated windows, so a series has at most one row per slide interval.
+    Works on aggregated windows, so a series has at most one row per slide interval. Time is cut
+    into blocks of ``block_rows`` intervals that are searched apart; then the stretches at the
+    edges of blocks, two a block where windows lie on one grid, are put together per series.
     """
-    over = rates.where(F.col(rate) > threshold)
-    w = Window.partitionBy(*series).orderBy("window_end")
-    gap = F.col("window_end") - seconds(slide_seconds)
-    starts = F.when(F.lag("window_end").over(w) == gap, 0).otherwise(1)
-    islands = over.withColumn("_new", starts).withColumn("_island", F.sum("_new").over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
-    found = islands.groupBy(*series, "_island").agg(
-        F.min("window_end").alias("alert_start"), F.max("window_end").alias("alert_end"),
-        F.max(rate).alias("peak_rate"), F.count(F.lit(1)).alias("windows"))
+    slide = slide_seconds * 1_000_000
+    span = slide * block_rows
+
+    def block(at: Column) -> Column:
+        return at - F.pmod(at, F.lit(span))
+
+    at = epoch_micros("window_end")
+    over = rates.where((F.col(rate) > threshold) & F.col("window_end").isNotNull()) \
+        .select(*series, "window_end", F.col(rate).alias("_rate"), at.alias("_at")).withColumn("_block", block(F.col("_at")))
+    within = _islands(over, [*series, "_block"], F.col("_at"), F.col("_at"), slide)
+    parts = within.groupBy(*series, "_block", "_island").agg(*_stretch(F.col("window_end"), F.col("window_end"), F.col("_rate"), F.lit(1)),
+                                                             F.min("_at").alias("_from"), F.max("_at").alias("_to"))
+    edge = (block(F.col("_from") - slide) < F.col("_block")) | (block(F.col("_to") + slide) > F.col("_block"))
+    marked = parts.withColumn("_edge", edge)
+    whole = ["alert_start", "alert_end", "peak_rate", "windows"]
+    # A stretch inside its block is a group of its own, and one window function serves both kinds.
+    apart = F.when(F.col("_edge"), F.lit(None)).otherwise(F.struct("_block", "_island"))
+    joined = _islands(marked.withColumn("_apart", apart).drop("_island"), [*series, "_apart"], F.col("_from"), F.col("_to"), slide)
+    found = joined.groupBy(*series, "_apart", "_island").agg(
+        *_stretch(F.col("alert_start"), F.col("alert_end"), F.col("peak_rate"), F.col("windows")))
     held = F.col("alert_end") >= F.col("alert_start") + seconds(hold_seconds)
-    return found.where(held).drop("_island")
+    return found.where(held).select(*series, *whole)
+
+
+def _islands(df: DataFrame, keys: list[str], first: Column, last: Column, slide: int) -> DataFrame:
+    """Number the runs of rows that begin one slide after the end of the row before."""
+    w = Window.partitionBy(*keys).orderBy(first)
+    fresh = F.when(F.lag(last).over(w) == first - slide, 0).otherwise(1)
+    return df.withColumn("_new", fresh).withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+
+
+def _stretch(start: Column, end: Column, rate: Column, windows: Column) -> list[Column]:
+    return [F.min(start).alias("alert_start"), F.max(end).alias("alert_end"), F.max(rate).alias("peak_rate"),
+            F.sum(windows).alias("windows")]

@@ -17,6 +17,8 @@ from tidemark.schemas import BASIC_ORDER
 from tidemark.session import durable, scratch
 from tidemark.sources.readers import file_stream
 from tidemark.streaming import keyed, sinks, tables
+from tidemark.streaming.late import split_late
+from tidemark.streaming.outbox import Outbox
 from tidemark.streaming.upsert import UpsertTable, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -317,6 +319,20 @@ def route_headers(spark, sf_dir):
         .select("message_id", "queue")
 
 
+@query
+def route_user_topics(spark, sf_dir):
+    """Patterns by the user, through the trie at every size."""
+    routed = routing.route(views.user_messages(spark, sf_dir), views.user_bindings(spark, sf_dir), inline_limit=0)
+    return routed.select("message_id", "routing_key", "queue")
+
+
+@query
+def route_user_headers(spark, sf_dir):
+    """Header bindings by the user, through postings at every size."""
+    routed = routing.route_by_headers(views.user_messages(spark, sf_dir), views.user_header_bindings(spark, sf_dir), inline_limit=0)
+    return routed.select("message_id", "queue")
+
+
 @query
 def partition_distribution(spark, sf_dir):
     log = views.table(spark, sf_dir, "events").select(
@@ -640,3 +656,53 @@ def stream_retry_outcomes(spark, sf_dir):
         "message_id", F.when(kind == "error", 4).when(kind == "signup", 99).otherwise(1).alias("heals_at"), "created_at")
     done = keyed.retry_ladder(orders, F.col("attempt") < F.col("heals_at"))
     return _kept(spark, done, parts, "created_at", "finished_at")
+
+
+def _late_by_part(spark, sf_dir, grace_seconds):
+    """Events in parts of time, every tenth a part late: which of them the watermark had passed."""
+    events, folder = views.table(spark, sf_dir, "events"), scratch(spark)
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    span = (last - first) // STREAM_PARTS + 1 if first is not None else 1
+    part = F.floor((at - F.lit(first)) / span) + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    part = F.coalesce(F.least(part, F.lit(STREAM_PARTS - 1)), F.lit(0))
+    on_time, late, marks, checkpoint = (f"{folder}/{n}" for n in ("on_time", "late", "marks", "checkpoint"))
+    step = split_late(sinks.append(on_time), sinks.append(late), marks, "ts", grace_seconds)
+    for k in range(STREAM_PARTS):
+        events.where(part == k).write.mode("append").parquet(f"{folder}/events")
+        sinks.start(spark.readStream.schema(events.schema).parquet(f"{folder}/events"), step, checkpoint, every=None).awaitTermination()
+    kept, missed = (tables.read(spark, path, events.schema) for path in (on_time, late))
+    return kept.withColumn("late", F.lit(False)).unionByName(missed.withColumn("late", F.lit(True))) \
+        .select("event_id", "late", F.col(tables.BATCH).alias("part"))
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    return _late_by_part(spark, sf_dir, 0)
+
+
+@query
+def stream_late_rows_grace(spark, sf_dir):
+    """The same with a grace of five days."""
+    return _late_by_part(spark, sf_dir, 5 * 86_400)
+
+
+@query
+def stream_outbox(spark, sf_dir):
+    """Orders to two sinks, one of which fails at its first two attempts."""
+    events, parts = _event_stream(spark, sf_dir)
+    orders = views.as_orders(events).select("message_id", "amount")
+    folder, left = scratch(spark), [2]
+
+    def flaky(batch, batch_id):
+        sinks.append(f"{folder}/audit")(batch, batch_id)
+        if left[0]:
+            left[0] -= 1
+            raise OSError("sink is away")
+
+    box = Outbox(spark, f"{folder}/outbox", orders.schema, {"audit": flaky, "analytics": sinks.append(f"{folder}/analytics")})
+    _drain(orders, box.put, parts)
+    while not box.flush():
+        pass
+    return tables.read(spark, f"{folder}/audit", orders.schema).withColumn("sink", F.lit("audit")) \
+        .unionByName(tables.read(spark, f"{folder}/analytics", orders.schema).withColumn("sink", F.lit("analytics"))).drop(tables.BATCH)

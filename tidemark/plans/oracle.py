@@ -415,3 +415,22 @@ ORACLE.update({
             CASE WHEN event_type IN ('error', 'signup') THEN ts + INTERVAL 30 SECONDS ELSE ts END AS finished_at FROM events)
         WHERE attempt = 1 OR finished_at <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
 })
+
+_LATE = """WITH spans AS (SELECT min(epoch_us(ts) // 1000000) AS lo, (max(epoch_us(ts) // 1000000) - min(epoch_us(ts) // 1000000)) // 4 + 1 AS span FROM events),
+    arrivals AS (SELECT event_id, epoch_us(ts) AS us, CAST(least((epoch_us(ts) // 1000000 - lo) // span
+        + CASE WHEN event_id %% 10 = 0 THEN 1 ELSE 0 END, 3) AS BIGINT) AS part FROM events, spans),
+    marks AS (SELECT part, max(max(us)) OVER (ORDER BY part) AS newest FROM arrivals GROUP BY part)
+    SELECT event_id, coalesce(us < (SELECT newest FROM marks m WHERE m.part = a.part - 1) - %d, false) AS late, part FROM arrivals a"""
+
+ORACLE.update({
+    "route_user_topics": """SELECT CAST(event_id AS VARCHAR) AS message_id,
+        'user.' || user_id || '.r' || (user_id % 4) || '.' || event_type AS routing_key, unnest(['alert.' || event_type, 'shard.' || (user_id % 7)]) AS queue
+        FROM events""",
+    "route_user_headers": """SELECT CAST(event_id AS VARCHAR) AS message_id, 'shard.' || (user_id % 7) AS queue FROM events
+        UNION ALL SELECT CAST(e.event_id AS VARCHAR), r.queue FROM events e
+        JOIN (SELECT DISTINCT 'r' || (user_id % 4) AS queue FROM events) r
+        ON e.event_type = 'error' OR r.queue = 'r' || (e.user_id % 4)""",
+    "stream_late_rows": _LATE % 0,
+    "stream_late_rows_grace": _LATE % (5 * 86_400_000_000),
+    "stream_outbox": """SELECT CAST(event_id AS VARCHAR) AS message_id, value AS amount, unnest(['audit', 'analytics']) AS sink FROM events""",
+})

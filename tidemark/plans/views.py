@@ -132,6 +132,38 @@ def header_bindings(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(HEADER_BINDINGS), HEADER_BINDING)
 
 
+def user_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages about users, addressed by key and by headers."""
+    region = F.concat(F.lit("r"), F.col("user_id") % 4)
+    return table(spark, sf_dir, "events").select(
+        _text("event_id").alias("message_id"), F.lit("users").alias("exchange"),
+        F.concat_ws(".", F.lit("user"), _text("user_id"), region, "event_type").alias("routing_key"),
+        F.create_map(F.lit("user"), _text("user_id"), F.lit("type"), F.col("event_type"), F.lit("region"), region).alias("headers"))
+
+
+def user_bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pattern for every user and kind of event, one for every user, and one for every kind."""
+    events = table(spark, sf_dir, "events").select(_text("user_id").alias("u"), F.col("event_type").alias("t"))
+    each = [("u", "t", F.concat(F.lit("user."), "u", F.lit(".*."), "t"), F.concat(F.lit("alert."), "t")),
+            ("u", None, F.concat(F.lit("user."), "u", F.lit(".#")), F.concat(F.lit("shard."), F.col("u").cast("long") % 7)),
+            ("t", None, F.concat(F.lit("#."), "t"), F.concat(F.lit("alert."), "t"))]
+    parts = [events.select(*[k for k in (a, b) if k]).distinct().select(
+        F.lit("users").alias("exchange"), F.lit("TOPIC").alias("exchange_type"), key.alias("binding_key"), queue.alias("queue"))
+        for a, b, key, queue in each]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def user_header_bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every user and kind of event one binding that asks for both; for every region one that asks for it or for errors."""
+    events = table(spark, sf_dir, "events").select(_text("user_id").alias("u"), F.col("event_type").alias("t"))
+    both = events.distinct().select(F.create_map(F.lit("user"), "u", F.lit("type"), "t").alias("headers"), F.lit("all").alias("match"),
+                                    F.concat(F.lit("shard."), F.col("u").cast("long") % 7).alias("queue"))
+    region = F.concat(F.lit("r"), F.col("u").cast("long") % 4)
+    either = events.select(region.alias("r")).distinct().select(
+        F.create_map(F.lit("region"), "r", F.lit("type"), F.lit("error")).alias("headers"), F.lit("any").alias("match"), F.col("r").alias("queue"))
+    return both.unionByName(either).select(F.lit("users").alias("exchange"), "headers", "match", "queue")
+
+
 def order_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders before the schema change."""
     return order_events(spark, sf_dir).where(
