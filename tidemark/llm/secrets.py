@@ -5,7 +5,10 @@ characters, and with them the sum of c*log2(c), are updated by one character in
 Each character class has its own threshold. Windows above it are joined into spans. What an
 allow-list pattern matches as a whole is left alone; spans of the fixed patterns always stay.
 
-Null and empty texts have no spans. Offsets are code points, ends exclusive.
+Null and empty texts have no spans; a very long text is scanned whole, a slice of its own. Repeated
+rows give repeated results, columns other than the key and the text are not read, and an empty table
+gives none. Where spans of two kinds start together, they keep the order of the kinds. Offsets are
+code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -31,14 +34,17 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 
 WINDOW = 20
 #: Bits per character that a window must reach, by class.
-THRESHOLDS = {"hex": 3.0, "mixed": 3.8, "lower": 3.6}
+THRESHOLDS = {"hex": 3.0, "mixed": 3.8, "lower": 3.6, "letters": 3.8}
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 #: Strings that look random and are no secrets: UUIDs, dates, paths of plain words, repeats.
 ALLOW = (
     r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",
     r"\d{4}-\d\d-\d\d[T_-]?[\d_-]*Z?",
-    r"/?(?:[A-Za-z]+|\d+)(?:[/_=-]+(?:[A-Za-z]+|\d+))*[/=]*",
+    r"/?(?:[A-Z]?[a-z]+|[A-Z]+|\d+)(?:[/_=-]+(?:[A-Z]?[a-z]+|[A-Z]+|\d+))*[/=]*",
 )
+#: Words as identifiers join them. Runs of both cases whose words have so many letters on average are names.
+NAME_WORD = re.compile("[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+NAME_LETTERS = 3.75
 
 SPAN = "struct<kind:string,start:int,end:int,secret_start:int>"
 SPANS_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
@@ -46,12 +52,16 @@ SPANS_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), (
 
 
 def character_class(run: str) -> str | None:
-    """Class whose threshold holds; None for runs without both letters and digits."""
-    if not (re.search(r"\d", run) and re.search("[A-Za-z]", run)):
+    """Class whose threshold holds; None for digits alone, letters of one case alone, and names such as ``someValueOfThat``."""
+    digits, small, capital = (re.search(c, run) for c in (r"\d", "[a-z]", "[A-Z]"))
+    if small and capital:
+        words = NAME_WORD.findall(run)
+        if words and sum(map(len, words)) >= NAME_LETTERS * len(words):
+            return None
+        return "mixed" if digits else "letters"
+    if not (digits and (small or capital)):
         return None
-    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", run):
-        return "hex"
-    return "mixed" if re.search("[a-z]", run) and re.search("[A-Z]", run) else "lower"
+    return "hex" if re.fullmatch("[0-9a-f]+|[0-9A-F]+", run) else "lower"
 
 
 def entropy_spans(run: str, window: int = WINDOW, threshold: float = 3.8) -> list[tuple[int, int]]:
