@@ -52,29 +52,32 @@ def audit(raw: DataFrame, value: str, schema: T.StructType,
     """Silent corruption in JSON text records.
 
     Per expected field the records in which it is missing or null, for the enum field
-    those with an unknown symbol, and every field that should not be there.  The counts
-    of expected fields are one partially aggregated row; only fields that should not
-    be there become rows of their own.
+    those with an unknown symbol, and every field that should not be there.  Records are
+    read once: a record counts in the group of what is expected and in that of each
+    unexpected field.  A table without records has findings of 0.
     """
     names = schema.fieldNames()
     checks = [(n, "null", F.col(f"_r.{n}").isNull()) for n in names]
     if enum_field in names:
         checks.append((enum_field, "bad_symbol", ~F.col(f"_r.{enum_field}").isin(*symbols)))
-    counts = raw.select(F.from_json(F.col(value), schema).alias("_r")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(bad).alias(f"_b{i}") for i, (_, _, bad) in enumerate(checks)])
-    findings = F.array(*[
-        F.struct(F.lit(field).alias("field"), F.lit(issue).alias("issue"),
-                 F.col("_n").alias("records"), F.col(f"_b{i}").alias("bad_records"),
-                 F.try_divide(F.col(f"_b{i}"), F.col("_n")).alias("share"))
-        for i, (field, issue, _) in enumerate(checks)])
-    extra = F.array_except(F.json_object_keys(value), F.array(*[F.lit(n) for n in names]))
-    unexpected = (raw.select(F.explode(extra).alias("field")).groupBy("field")
-                  .agg(F.count(F.lit(1)).alias("records"))
-                  .select("field", F.lit("unexpected").alias("issue"), "records",
-                          F.col("records").alias("bad_records"),
-                          F.lit(None).cast("double").alias("share")))
-    return counts.select(F.inline(findings)).unionByName(unexpected)
+    extra = F.coalesce(F.array_except(F.json_object_keys("_value"), F.array(*[F.lit(n) for n in names])), F.array().cast("array<string>"))
+    groups = F.concat(F.array(F.struct(F.lit(None).cast("string").alias("field"), F.lit(True).alias("known"))),
+                      F.transform(extra, lambda f: F.struct(f.alias("field"), F.lit(False).alias("known"))))
+    # A row that counts nothing keeps the expected fields in the result.
+    nothing = raw.sparkSession.range(1).select(F.lit(None).cast("string").alias("_value"), F.lit(False).alias("_real"))
+    records = raw.select(F.col(value).alias("_value"), F.lit(True).alias("_real")).unionByName(nothing)
+    flags = records.select("_real", F.from_json("_value", schema).alias("_r"), groups.alias("_g")) \
+        .select("_real", "_g", *[F.coalesce(bad, F.lit(False)).alias(f"_b{i}") for i, (_, _, bad) in enumerate(checks)])
+    counts = flags.select("*", F.explode("_g").alias("_at")).groupBy("_at.field", "_at.known").agg(
+        F.count_if("_real").alias("_n"), *[F.count_if(F.col("_real") & F.col(f"_b{i}")).alias(f"_b{i}") for i in range(len(checks))])
+
+    def finding(field: Column, issue: str, bad: Column, share: Column) -> Column:
+        return F.struct(field.alias("field"), F.lit(issue).alias("issue"), F.col("_n").alias("records"),
+                        bad.alias("bad_records"), share.alias("share"))
+
+    expected = [finding(F.lit(field), issue, F.col(f"_b{i}"), F.try_divide(F.col(f"_b{i}"), F.col("_n"))) for i, (field, issue, _) in enumerate(checks)]
+    unexpected = finding(F.col("field"), "unexpected", F.col("_n"), F.lit(None).cast("double"))
+    return counts.select(F.inline(F.when(F.col("known"), F.array(*expected)).otherwise(F.array(unexpected))))
 
 
 def decode_json(raw: DataFrame, value: str, schema: T.StructType,
