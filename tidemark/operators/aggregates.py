@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import exact
@@ -80,7 +80,14 @@ def running_window_revenue(orders: DataFrame, order: list[str], size: str = "1 m
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The newest row of every key, as one partially aggregated group-by."""
+    """The newest row of every key.
+
+    In batch the rank filter is applied before the shuffle as well as after it, so a hot key
+    sends one row per map task; a stream keeps one row per key in state.
+    """
+    if not df.isStreaming:
+        newest_first = Window.partitionBy(key).orderBy(*[F.desc(c) for c in order])
+        return df.withColumn("_rn", F.row_number().over(newest_first)).where(F.col("_rn") == 1).drop("_rn").select(key, *[c for c in df.columns if c != key])
     rest = [c for c in df.columns if c != key]
     newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
     return df.groupBy(key).agg(newest).select(key, *[F.col(f"_row.{c}").alias(c) for c in rest])
