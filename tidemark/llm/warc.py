@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -37,6 +38,8 @@ PART_BYTES, BATCH_BYTES, HEAD_BYTES = 64 << 20, 4 << 20, 1 << 12
 
 
 def place(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a URI; Hadoop's names of S3 are Arrow's ``s3``, and what Arrow can't open is an error."""
+    path = re.sub("^s3[an]://", "s3://", path)
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
@@ -217,7 +220,8 @@ def records(source, tests: list[tuple], payload: bool) -> Iterator[dict]:
 def archive(pages: DataFrame, key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
     """Records of SCHEMA for pages: of equal payloads of some size that with the largest key is the response.
 
-    Null pages are empty payloads. Rows that repeat the largest key are all responses; a null key
+    Null pages are empty payloads, and empty ones are responses. A very long page is one record, packed and
+    unpacked whole. Columns other than the three named are not read, so their names can't clash. Rows that repeat the largest key are all responses; a null key
     is smaller than any other, and payloads that have only null keys are all responses.
     """
     payload = F.coalesce(F.encode(F.col(html), "UTF-8"), F.lit(b""))
@@ -233,6 +237,7 @@ def archive(pages: DataFrame, key: str = "page_id", html: str = "html", url: str
 
 
 def write_archives(records_: DataFrame, path: str) -> None:
+    place(path)  # before any task runs
     records_.sparkSession.dataSource.register(Warc)
     records_.write.format("warc").mode("append").option("path", path).save()
 
@@ -245,8 +250,12 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
 
 
 def round_trip(pages: DataFrame, **columns) -> DataFrame:
-    """Archive pages in the shared folder and read them back; digests of responses are taken from what was read."""
-    path = scratch(pages.sparkSession)
+    """Archive pages in the shared folder and read them back; digests of responses are taken from what was read.
+
+    The type of a record is a pushed predicate: responses are unpacked for their payloads, and of revisits
+    only heads are read, which tell the digest of what they refer to.
+    """
+    spark, path = pages.sparkSession, scratch(pages.sparkSession)
     write_archives(archive(pages, **columns), path)
-    digest = F.coalesce(F.sha1("payload"), F.col("payload_digest"))
-    return read_archives(pages.sparkSession, path).withColumn("payload_digest", digest)
+    responses = read_archives(spark, path).where(F.col("record_type") == "response").withColumn("payload_digest", F.sha1("payload"))
+    return responses.unionByName(read_archives(spark, path, payload=False).where(F.col("record_type") == "revisit"))
