@@ -22,7 +22,8 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, MOST_PASSES, SEED = 1.5, 2.0, 20
 #: Words that the dynamic programme covers; the greedy step gets the budget below this.
 KNAPSACK_WORDS = 1 << 16
-PLAN = "no_source boolean, source string, size long, cell long, before long, taken_docs long, passes long, source_size long, target double"
+#: Copies of one row that a task writes at once.
+BLOCK = 1 << 10
 
 
 def word_count(text: str = "text") -> Column:
@@ -30,40 +31,38 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
-def numbered(df: DataFrame, *order: str) -> DataFrame:
-    """``df`` with ``place``, from 0 in the given order, without sorting all rows in one task."""
-    parts = durable(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
-    starts = parts.groupBy("part").count().withColumn(
-        "start", F.coalesce(F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = F.row_number().over(Window.partitionBy("part").orderBy(*order))
-    return (parts.withColumn("within", within).join(starts.select("part", "start"), "part")
-            .withColumn("place", F.col("start") + F.col("within") - 1).drop("part", "within", "start"))
+def before(df: DataFrame, *order: str, **amounts: Column) -> DataFrame:
+    """``df`` with, per name, the sum of its amount over earlier rows, without sorting all rows in one task."""
+    parts = durable(df.withColumns(amounts).repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    none = F.lit(0)
+    starts = parts.groupBy("part").agg(*[F.sum(n).alias(n) for n in amounts]).select(
+        "part", *[F.coalesce(F.sum(n).over(earlier), none).alias(f"{n}_start") for n in amounts])
+    return (parts.withColumns({n: F.coalesce(F.sum(n).over(within), none) for n in amounts}).join(starts, "part")
+            .withColumns({n: F.col(n) + F.col(f"{n}_start") for n in amounts}).drop("part", *[f"{n}_start" for n in amounts]))
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE,
             most: float = MOST_PASSES) -> DataFrame:
     """``no_source, source, source_size, target`` from rows of ``no_source, source, source_size``.
 
-    Weights repeat along the sources in code point order, null last. Each round gives the
-    sources that are not full their share by weight of what the full ones leave; a source that
-    would pass its limit becomes full. Sources of size 0 are full at once.
+    Weights repeat along the sources in code point order, null last. Sources that are not full share
+    by weight what the full ones leave. In the order of limit by weight the full ones come first, so
+    running sums give the level to which the others are filled, in a fixed number of jobs.
     """
-    placed = numbered(sizes, "no_source", "source")
+    placed = before(sizes, "no_source", "source", place=F.lit(1))
     turn = F.pmod(F.col("place"), F.lit(len(weights)))
     listed = F.element_at(F.array(*map(F.lit, weights)), (turn + 1).cast("int"))
-    placed = durable(placed.withColumn("weight", listed).withColumn("limit", most * F.col("source_size")))
-    total = placed.agg(F.sum("source_size")).first()[0] or 0
-    level, full = 0.0, -1
-    while True:
-        done = F.col("limit") <= F.col("weight") * level if full >= 0 else F.col("limit") <= 0
-        row = placed.agg(F.sum(F.when(done, F.col("limit")).otherwise(0.0)).alias("used"),
-                         F.sum(F.when(done, 0.0).otherwise(F.col("weight"))).alias("open"),
-                         F.count_if(done).alias("full")).first()
-        if not row["open"] or row["full"] == full:
-            break
-        full, level = row["full"], (share * total - row["used"]) / row["open"]
-    return placed.select("no_source", "source", "source_size",
-                         F.least("limit", F.col("weight") * level).alias("target"))
+    placed = placed.withColumn("weight", listed).withColumn("limit", most * F.col("source_size"))
+    ranked = durable(before(placed.withColumn("ratio", F.col("limit") / F.col("weight")), "ratio", "place",
+                            used=F.col("limit"), passed=F.col("weight")))
+    total, heavy = ranked.agg(F.sum("source_size"), F.sum("weight")).first()
+    level = (share * F.lit(total or 0) - F.col("used")) / (F.lit(heavy or 0.0) - F.col("passed"))
+    open_ = ranked.withColumn("level", level).where(F.col("limit") > F.col("weight") * F.col("level"))
+    found = open_.agg(F.min_by("level", F.struct("ratio", "place"))).first()[0]
+    filled = F.col("limit") if found is None else F.least("limit", F.col("weight") * found)
+    return ranked.select("no_source", "source", "source_size", filled.alias("target"))
 
 
 def fill(lengths: list[tuple[int, int]], budget: int, knapsack: int = KNAPSACK_WORDS) -> dict[int, int]:
@@ -126,24 +125,23 @@ def subset(lengths: list[tuple[int, int]], budget: int) -> dict[int, int]:
     return taken
 
 
-def hash_order(columns: list[str], seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), *columns)
-
-
-def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
-        weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_PASSES,
-        seed: int = SEED) -> DataFrame:
-    """Per row of ``df``: key, ``no_source``, ``source``, ``size``, ``source_size``, ``target``, ``passes``.
+def entries(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
+            weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_PASSES,
+            seed: int = SEED) -> DataFrame:
+    """The mix, one row per group of equal rows of ``df``.
 
-    ``passes`` says how often the mix takes the document. Documents without words are never
-    taken; an empty table gives no rows; rows that are equal share their passes in any order.
+    ``draw`` and ``check`` are hashes of the whole row, ``copies`` says how many rows share them, ``whole``
+    how often the mix takes each, and ``extra`` how many of them it takes once more. Rows of one key with
+    different contents are drawn apart, so neither they nor equal rows meet in one task.
     """
+    hashed = [F.xxhash64(F.lit(s), *[F.col(c) for c in df.columns]) for s in (seed, ~seed)]
     docs = durable(df.select(
         F.col(key).alias("key"), F.col(source).isNull().alias("no_source"),
-        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), word_count(text).alias("size"))
-        .withColumn("draw", hash_order(["key", "size"], seed)))
+        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), word_count(text).alias("size"),
+        hashed[0].alias("draw"), hashed[1].alias("check"))
+        .groupBy("key", "no_source", "source", "size", "draw", "check").agg(F.count("*").alias("copies")))
     group = ["no_source", "source", "size"]
-    lengths = durable(docs.groupBy(*group).agg(F.count("*").alias("docs")))
+    lengths = durable(docs.groupBy(*group).agg(F.sum("copies").alias("docs"), F.count("*").alias("groups")))
     sizes = lengths.groupBy("no_source", "source").agg(F.sum(F.col("size") * F.col("docs")).alias("source_size"))
     goal = durable(targets(sizes, weights, share, most))
 
@@ -157,39 +155,61 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str =
                          "chosen": pa.array([taken.get(r["size"], 0) for r in rows], pa.int64())})
 
     # A source's lengths fit a task: there are no more than words in its longest text.
-    plan = lengths.join(goal, ["no_source", "source"]).groupBy("no_source", "source").applyInArrow(
+    plan = lengths.drop("groups").join(goal, ["no_source", "source"]).groupBy("no_source", "source").applyInArrow(
         choose, "no_source boolean, source string, size long, whole long, chosen long")
     plan = durable(plan.join(goal, ["no_source", "source"]))
-    # Many documents of one length are split along the hash, so that ranks need no large task.
+    # Many groups of one length are split along the hash, so that ranks need no large task.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share_of_task = F.lit(max(1, docs.count() // (4 * parts)))
-    split = (F.col("docs") / share_of_task).cast("int") + 1
+    split = (F.col("groups") / share_of_task).cast("int") + 1
     cell = F.floor((F.col("draw") / 2.0 ** 64 + 0.5) * F.col("split")).cast("int")
     celled = docs.join(lengths.select(*group, split.alias("split")), group).withColumn("cell", cell).drop("split")
-    inner = Window.partitionBy(*group, "cell").orderBy("draw", F.col("key"))
-    earlier = Window.partitionBy(*group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = celled.groupBy(*group, "cell").count().withColumn("before", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
-    cells = cells.drop("count").join(plan, group)
-    ranked = celled.join(cells, [*group, "cell"]).withColumn("rank", F.col("before") + F.row_number().over(inner))
-    passes = F.col("whole") + (F.col("rank") <= F.col("chosen")).cast("long")
-    return ranked.select(F.col("key").alias(key), "no_source", "source", "size", "source_size", "target",
-                         passes.alias("passes"))
+    none, up_to_here = F.lit(0), (Window.unboundedPreceding, -1)
+    inner = Window.partitionBy(*group, "cell").orderBy("draw", "check", "key").rowsBetween(*up_to_here)
+    earlier = Window.partitionBy(*group).orderBy("cell").rowsBetween(*up_to_here)
+    cells = celled.groupBy(*group, "cell").agg(F.sum("copies").alias("held"))
+    cells = cells.withColumn("before", F.coalesce(F.sum("held").over(earlier), none)).drop("held").join(plan, group)
+    ranked = celled.join(cells, [*group, "cell"]).withColumn("place", F.col("before") + F.coalesce(F.sum("copies").over(inner), none))
+    extra = F.greatest(F.least("copies", F.col("chosen") - F.col("place")), none)
+    return ranked.select("key", *group, "draw", "check", "copies", "whole", extra.alias("extra"), "source_size", "target")
+
+
+def unfolded(df: DataFrame, times: str, *spread: str) -> DataFrame:
+    """Rows as often as ``times`` says, ``nth`` from 0, a block of them at a time.
+
+    Rows of more than one block are dealt to tasks by ``spread`` and block. ``df`` is read twice.
+    """
+    last = F.col(times) - 1
+    few = df.where(F.col(times).between(1, BLOCK)).withColumn("block", F.lit(0).cast("long"))
+    many = df.where(F.col(times) > BLOCK).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / BLOCK))))
+    start = F.col("block") * BLOCK
+    return few.unionAll(many.repartition(*spread, "block")).withColumn(
+        "nth", F.explode(F.sequence(start, F.least(last, start + BLOCK - 1)))).drop("block")
+
+
+def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
+    """Per row of ``df``: key, ``no_source``, ``source``, ``size``, ``source_size``, ``target``, ``passes``.
+
+    ``passes`` says how often the mix takes the document. Documents without words are never
+    taken; an empty table gives no rows; rows that are equal share their passes in any order.
+    Words are counted over whole texts of any length. Options are those of ``entries``.
+    """
+    rows = unfolded(durable(entries(df, key, source, text, **options)), "copies", "draw")
+    passes = F.col("whole") + (F.col("nth") < F.col("extra")).cast("long")
+    return rows.select(F.col("key").alias(key), "no_source", "source", "size", "source_size", "target", passes.alias("passes"))
 
 
-def repeat(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
+def repeat(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: int = SEED, **options) -> DataFrame:
     """Rows of ``df`` as often as the mix takes them, with all columns.
 
-    Rows of one key, source and length are alike to the mix; the passes that they have together
-    go to them in the order of a hash of the row.
+    Equal rows are collapsed before they are shuffled and come out as often as the mix takes all of them.
     """
-    plan = mix(df, key, source, text, **options).groupBy(
-        F.col(key).alias("its_key"), "no_source", F.col("source").alias("its_source"), F.col("size").alias("its_size")).agg(
-        F.sum("passes").alias("passes"), F.count("*").alias("rows")).where("passes > 0")
-    named = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), F.col(key).alias("key"), F.col(source).isNull().alias("unsourced"),
-                      F.coalesce(F.col(source).cast("string"), F.lit("")).alias("name"), word_count(text).alias("words"))
-    same = "key <=> its_key AND unsourced = no_source AND name = its_source AND words = its_size"
-    joined = named.join(plan, F.expr(same))
-    place = F.row_number().over(Window.partitionBy("key", "unsourced", "name", "words").orderBy(F.xxhash64("row")))
-    times = F.floor((F.col("passes") + F.col("rows") - F.col("place")) / F.col("rows")).cast("int")
-    return (joined.withColumn("place", place).withColumn("times", times).where("times > 0")
-            .select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*"))
+    times = F.col("whole") * F.col("copies") + F.col("extra")
+    plan = durable(entries(df, key, source, text, seed=seed, **options).select(
+        F.col("draw").alias("its_draw"), F.col("check").alias("its_check"), times.alias("times")).where("times > 0"))
+    columns = [F.col(c) for c in df.columns]
+    rows = df.select(F.struct(*columns).alias("row"), F.xxhash64(F.lit(seed), *columns).alias("draw"), F.xxhash64(F.lit(~seed), *columns).alias("check"))
+    one = F.row_number().over(Window.partitionBy("draw", "check").orderBy("draw"))
+    rows = rows.withColumn("place", one).where("place = 1").drop("place")
+    joined = rows.join(plan, F.expr("draw = its_draw AND check = its_check"))
+    return unfolded(joined, "times", "draw").select("row.*")
