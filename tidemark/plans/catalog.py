@@ -15,7 +15,8 @@ from tidemark.operators import (aggregates, contract, dedup, filters, joins, met
 from tidemark.plans import views
 from tidemark.schemas import BASIC_ORDER
 from tidemark.session import durable, scratch
-from tidemark.sources.readers import file_stream
+from tidemark.sources.readers import decode_json_log, file_stream
+from tidemark.sources.writers import encode_json
 from tidemark.streaming import keyed, sinks, tables
 from tidemark.streaming.late import split_late
 from tidemark.streaming.outbox import Outbox
@@ -592,6 +593,16 @@ def stream_orders_per_customer(spark, sf_dir):
     return table.read()
 
 
+@query
+def stream_json_log(spark, sf_dir):
+    """Orders as keyed JSON records, written to a log and read from its start, a bounded number of files at a time."""
+    orders, folder = views.order_events(spark, sf_dir), scratch(spark)
+    encode_json(orders, "customer_id").repartition(2 * PART_FILES).write.parquet(f"{folder}/log")
+    log = file_stream(spark, f"{folder}/log", T.StructType().add("key", "string").add("value", "string"), max_files=PART_FILES)
+    records = decode_json_log(log, orders.schema)
+    return _kept(spark, records, [], "created_at")
+
+
 @query
 def stream_state_counts(spark, sf_dir):
     """The counts as the state store of the query holds them."""

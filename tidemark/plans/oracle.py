@@ -430,6 +430,7 @@ ORACLE.update({
         UNION ALL SELECT CAST(e.event_id AS VARCHAR), r.queue FROM events e
         JOIN (SELECT DISTINCT 'r' || (user_id % 4) AS queue FROM events) r
         ON e.event_type = 'error' OR r.queue = 'r' || (e.user_id % 4)""",
+    "stream_json_log": _sql("order_events", """SELECT customer_id AS key, * FROM order_events"""),
     "stream_late_rows": _LATE % 0,
     "stream_late_rows_grace": _LATE % (5 * 86_400_000_000),
     "stream_outbox": """SELECT CAST(event_id AS VARCHAR) AS message_id, value AS amount, unnest(['audit', 'analytics']) AS sink FROM events""",
