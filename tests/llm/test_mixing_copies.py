@@ -47,6 +47,13 @@ def test_ids_are_drawn_apart_by_content(spark):
     assert max(r.copies for r in grouped) == 3000
 
 
+def test_columns_of_any_name_and_type(spark):
+    df = table(spark).withColumn("draw", F.create_map(F.lit("k"), F.col("doc_id") % 2)).withColumn("times", F.lit(None).cast("int"))
+    out = mixing.repeat(df)
+    assert out.schema.simpleString() == df.schema.simpleString()
+    assert out.count() == mixing.mix(df).agg(F.sum("passes")).first()[0] > 0
+
+
 def test_long_runs_come_in_blocks(spark):
     df = spark.createDataFrame([(1, 5 * mixing.BLOCK + 3), (2, 1), (3, 0), (4, mixing.BLOCK)], "id int, times long")
     out = mixing.unfolded(df, "times", "id").groupBy("id").agg(F.count("*").alias("n"), F.min("nth").alias("lo"), F.max("nth").alias("hi"),

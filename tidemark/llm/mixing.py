@@ -125,6 +125,12 @@ def subset(lengths: list[tuple[int, int]], budget: int) -> dict[int, int]:
     return taken
 
 
+def row_hashes(df: DataFrame, seed: int) -> list[Column]:
+    """``draw`` and ``check``: two hashes of a whole row. Columns that Spark cannot hash, such as maps, enter as JSON."""
+    values = [F.to_json(F.struct(F.col(c))) if "map<" in kind or "variant" in kind else F.col(c) for c, kind in df.dtypes]
+    return [F.xxhash64(F.lit(s), *values).alias(n) for s, n in ((seed, "draw"), (~seed, "check"))]
+
+
 def entries(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
             weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_PASSES,
             seed: int = SEED) -> DataFrame:
@@ -134,11 +140,10 @@ def entries(df: DataFrame, key: str = "doc_id", source: str = "source", text: st
     how often the mix takes each, and ``extra`` how many of them it takes once more. Rows of one key with
     different contents are drawn apart, so neither they nor equal rows meet in one task.
     """
-    hashed = [F.xxhash64(F.lit(s), *[F.col(c) for c in df.columns]) for s in (seed, ~seed)]
     docs = durable(df.select(
         F.col(key).alias("key"), F.col(source).isNull().alias("no_source"),
         F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), word_count(text).alias("size"),
-        hashed[0].alias("draw"), hashed[1].alias("check"))
+        *row_hashes(df, seed))
         .groupBy("key", "no_source", "source", "size", "draw", "check").agg(F.count("*").alias("copies")))
     group = ["no_source", "source", "size"]
     lengths = durable(docs.groupBy(*group).agg(F.sum("copies").alias("docs"), F.count("*").alias("groups")))
@@ -207,8 +212,7 @@ def repeat(df: DataFrame, key: str = "doc_id", source: str = "source", text: str
     times = F.col("whole") * F.col("copies") + F.col("extra")
     plan = durable(entries(df, key, source, text, seed=seed, **options).select(
         F.col("draw").alias("its_draw"), F.col("check").alias("its_check"), times.alias("times")).where("times > 0"))
-    columns = [F.col(c) for c in df.columns]
-    rows = df.select(F.struct(*columns).alias("row"), F.xxhash64(F.lit(seed), *columns).alias("draw"), F.xxhash64(F.lit(~seed), *columns).alias("check"))
+    rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), *row_hashes(df, seed))
     one = F.row_number().over(Window.partitionBy("draw", "check").orderBy("draw"))
     rows = rows.withColumn("place", one).where("place = 1").drop("place")
     joined = rows.join(plan, F.expr("draw = its_draw AND check = its_check"))
