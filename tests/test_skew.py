@@ -171,3 +171,17 @@ def test_first_delivery_limits_before_the_shuffle(spark):
     plan = dedup.first_deliveries(df, ["ts", "id"], "key")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Partial" in text and "WindowGroupLimit" in text
+
+
+@pytest.mark.parametrize("kind", [skew.running_sum, skew.previous])
+def test_tasks_of_cut_keys_hold_bounded_rows(spark, monkeypatch, kind):
+    monkeypatch.setattr(skew, "TASK_ROWS", 100, raising=False)
+    keys = [0.0, -0.0, 2.5, float("inf"), float("nan"), None]
+    rows = [(keys[i % 6], T0 + timedelta(seconds=i // 3), i, i % 11) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k double, ts timestamp_ntz, id long, v long")
+    cut = skew.running(df, ["k"], ["ts", "id"], {"r": kind(F.col("v"))}, split_rows=100)
+    plain = skew.running_plain(df, ["k"], ["ts", "id"], {"r": kind(F.col("v"))})
+    assert cut.columns == plain.columns
+    assert {r["id"]: r["r"] for r in cut.collect()} == {r["id"]: r["r"] for r in plain.collect()}
+    tasks = cut.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 30 and max(r["count"] for r in tasks) <= 600

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import exact
 from tidemark.functions.columns import dedup_id, epoch_micros
-from tidemark.operators.skew import (BROADCAST_ROWS, SPLIT_ROWS, chunk_hot, previous, running,
+from tidemark.operators.skew import (BROADCAST_ROWS, SPLIT_ROWS, chunk_hot, chunked, previous, running,
                                      running_chunked, running_count, running_max,
                                      running_plain, running_sum, same_keys)
 from tidemark.session import durable
@@ -56,14 +56,13 @@ def accepted_within_ttl(deliveries: DataFrame, order: list[str], ttl: float = DA
     """
     span = round(ttl * 1_000_000)
     deliveries = deliveries.where(F.col(order[0]).isNotNull())
-    chunked = chunk_hot(deliveries, [key], order, split_rows)
-    if chunked is None:
+    found = chunked(deliveries, [key], order, split_rows)
+    if found is None:
         return _accepted_plain(deliveries, key, order, span)
-    rows, bound = chunked
-    cold = rows.where(F.col("_chunk") < 0).drop("_chunk")
-    hot = rows.where(F.col("_chunk") >= 0)
+    cold = found.rows.where(F.col("_chunk") < 0).drop("_chunk")
+    hot = found.rows.where(F.col("_chunk") >= 0)
     return _accepted_plain(cold, key, order, span).unionByName(
-        _accepted_hot(hot, bound, key, order, span, split_rows))
+        _accepted_hot(hot, found.bound, key, order, span, split_rows, found.tasks))
 
 
 def _outputs(when: Column, span: int) -> tuple[Column, dict, dict]:
@@ -86,12 +85,12 @@ def _accepted_plain(rows: DataFrame, key: str, order: list[str], span: int) -> D
 
 
 def _accepted_hot(rows: DataFrame, bound: int, key: str, order: list[str], span: int,
-                  split_rows: int) -> DataFrame:
+                  split_rows: int, tasks: int) -> DataFrame:
     """The same for ids that are cut into chunks; every stage is written down once."""
     columns, when = [c for c in rows.columns if c != "_chunk"], epoch_micros(order[0])
     opens, before, opened = _outputs(when, span)
-    seen = durable(running_chunked(rows, bound, [key], order, before))
-    seen = durable(running_chunked(seen, bound, [key], order, opened))
+    seen = durable(running_chunked(rows, bound, [key], order, before, tasks))
+    seen = durable(running_chunked(seen, bound, [key], order, opened, tasks))
     accepted = seen.where(opens).select(*columns)
     unsettled = durable(_unsettled(seen, columns, opens, when, span))
     stretch = [key, "_opened"]

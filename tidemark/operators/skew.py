@@ -13,13 +13,16 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import epoch_micros
 
 SPLIT_ROWS = 2_000_000
+#: Rows that a task sorts, on average, once keys are cut: partitions are numbered by rows, since sorted
+#: columns compress so well that partitions sized by shuffled bytes hold many times more.
+TASK_ROWS = 500_000
 MAX_HOT_KEYS = 50_000
 BROADCAST_ROWS = 500_000
 _SAMPLED_HITS = 1_000
@@ -32,6 +35,7 @@ class HotKeys:
     table: DataFrame
     count: int
     rows: int
+    all_rows: int
 
 
 def hot_keys(df: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS) -> HotKeys | None:
@@ -56,15 +60,17 @@ def hot_keys_of(sides: list[DataFrame], split_rows: int = SPLIT_ROWS) -> HotKeys
         picked = [p.sample(fraction, seed=7) for p in picked]
     counts = reduce(DataFrame.union, picked).groupBy(*names, "_side") \
         .agg(F.count(F.lit(1)).alias("_n"))
-    found = counts.where(F.col("_n") > wanted).orderBy(F.desc("_n")) \
-        .limit(MAX_HOT_KEYS).collect()
+    sampled = Observation()
+    found = counts.observe(sampled, F.sum("_n").alias("rows")).where(F.col("_n") > wanted) \
+        .orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).collect()
     if not found:
         return None
     rows = {tuple(r[n] for n in names) for r in found}
     schema = T.StructType([T.StructField(n, f.dataType) for n, f in
                            zip(names, sides[0].schema.fields)])
     table = sides[0].sparkSession.createDataFrame(list(rows), schema)
-    return HotKeys(table, len(rows), int(sum(r["_n"] for r in found) / fraction))
+    return HotKeys(table, len(rows), int(sum(r["_n"] for r in found) / fraction),
+                   int(sampled.get["rows"] / fraction))
 
 
 def same_keys(keys: list[str], prefix: str) -> Column:
@@ -106,15 +112,30 @@ def _bucket(df: DataFrame, source: str, target: str, cuts: list[float]) -> DataF
                           .otherwise(F.col(target) + 1).cast("long"))
 
 
+@dataclass(frozen=True)
+class Chunked:
+    """Rows with ``_chunk``, a bound on the number of (key, chunk) pairs, and how many tasks they fill."""
+
+    rows: DataFrame
+    bound: int
+    tasks: int
+
+
 def chunk_hot(df: DataFrame, keys: list[str], order: list[str],
               split_rows: int = SPLIT_ROWS) -> tuple[DataFrame, int] | None:
+    """The rows of ``chunked`` and the bound, or None when no key is hot."""
+    found = chunked(df, keys, order, split_rows)
+    return None if found is None else (found.rows, found.bound)
+
+
+def chunked(df: DataFrame, keys: list[str], order: list[str],
+            split_rows: int = SPLIT_ROWS) -> Chunked | None:
     """Add ``_chunk``: -1 for ordinary keys, else an index that grows with ``order``.
 
     ``order`` is unique within a key; its first two columns are timestamps or numbers.
     The cut points are quantiles of the hot rows.  A single order value that is so
     frequent that no cut falls inside it is cut along the second column.
-    Returns the rows and a bound on the number of (key, chunk) pairs, or None when
-    no key is hot.
+    None when no key is hot.
     """
     hot = hot_keys(df, keys, split_rows)
     if hot is None:
@@ -135,7 +156,8 @@ def chunk_hot(df: DataFrame, keys: list[str], order: list[str],
         out = out.withColumn("_b", F.col("_b") * width + inner).drop("_t", "_s")
     out = (out.withColumn("_chunk", F.when(F.col("_is_hot"), F.col("_b")).otherwise(F.lit(-1)))
            .drop("_o", "_b", "_is_hot"))
-    return out, hot.count * (pieces + 1) * width
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(hot.all_rows / TASK_ROWS))
+    return Chunked(out, hot.count * (pieces + 1) * width, tasks)
 
 
 @dataclass(frozen=True)
@@ -197,11 +219,10 @@ def running(df: DataFrame, keys: list[str], order: list[str], outputs: dict[str,
     The check for hot keys reads the key column once when this is called; put the
     result of an expensive plan into a table first (``session.durable``).
     """
-    chunked = chunk_hot(df, keys, order, split_rows)
-    if chunked is None:
+    found = chunked(df, keys, order, split_rows)
+    if found is None:
         return running_plain(df, keys, order, outputs)
-    rows, bound = chunked
-    return running_chunked(rows, bound, keys, order, outputs).drop("_chunk")
+    return running_chunked(found.rows, found.bound, keys, order, outputs, found.tasks).drop("_chunk")
 
 
 def running_plain(df: DataFrame, keys: list[str], order: list[str],
@@ -212,10 +233,20 @@ def running_plain(df: DataFrame, keys: list[str], order: list[str],
 
 
 def running_chunked(df: DataFrame, bound: int, keys: list[str], order: list[str],
-                    outputs: dict[str, Running]) -> DataFrame:
-    """``running`` over rows that ``chunk_hot`` has marked."""
-    cells = df.where(F.col("_chunk") >= 0).groupBy(*keys, "_chunk").agg(
-        *[r.total(order).alias(f"_c_{n}") for n, r in outputs.items()])
+                    outputs: dict[str, Running], tasks: int | None = None) -> DataFrame:
+    """``running`` over rows that ``chunked`` has marked, dealt to ``tasks`` tasks if that is given."""
+    dealt, deal = df, []
+    if tasks:
+        # One number for key and chunk: a partitioning by keys that are doubles would not be taken as it is.
+        deal = ["_deal"]
+        dealt = df.withColumn("_deal", F.xxhash64(*keys, "_chunk")).repartition(tasks, "_deal")
+    totals = [r.total(order).alias(f"_c_{n}") for n, r in outputs.items()]
+    if tasks and any(r.kind == "previous" for r in outputs.values()):
+        # The last row of a chunk is found by sorting: in tasks of bounded size, from the rows that are dealt anyway.
+        # A filter on the chunk itself would go below the exchange, which would then serve this branch alone.
+        cells = dealt.groupBy(*deal, *keys, "_chunk").agg(F.max("_chunk").alias("_c_at"), *totals).where("_c_at >= 0")
+    else:
+        cells = df.where(F.col("_chunk") >= 0).groupBy(*keys, "_chunk").agg(*totals)
     across = Window.partitionBy(*keys).orderBy("_chunk")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     carry = cells.select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)],
@@ -225,10 +256,10 @@ def running_chunked(df: DataFrame, bound: int, keys: list[str], order: list[str]
     if bound <= BROADCAST_ROWS:
         carry = F.broadcast(carry)
 
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    w = Window.partitionBy(*deal, *keys, "_chunk").orderBy(*order)
     rows = w.rowsBetween(Window.unboundedPreceding, 0)
-    local = df.select("*", F.row_number().over(w).alias("_rn"),
-                      *[r.local(w, rows).alias(f"_l_{n}") for n, r in outputs.items()])
+    local = dealt.select("*", F.row_number().over(w).alias("_rn"),
+                         *[r.local(w, rows).alias(f"_l_{n}") for n, r in outputs.items()])
     joined = local.join(carry, same_keys(keys, "_k_") & (F.col("_chunk") == F.col("_k_chunk")),
                         "left")
     return joined.select(*df.columns, *[
