@@ -30,3 +30,18 @@ def test_first_deliveries_are_spark_s_own_state(spark, tmp_path, monkeypatch):
         want.extend((k, str(i), n) for i, (t, n) in firsts.items())
     assert sorted((b, str(i), n) for b, i, n, _ in found) == sorted(want)
     assert {s.operatorName for s in states} == {"dedupe"} and states[-1].numRowsTotal == len(known)
+
+
+def test_expiring_ids_share_their_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "GROUPS", 4)
+    rng = random.Random(11)
+    batches = [[(f"k{rng.randrange(200)}", 1000 * k + n, at(60 * k + rng.randrange(90))) for n in range(400)] for k in range(3)]
+    found, states = run(keyed.keep_within_ttl(feed(spark, tmp_path / "in", batches), ["created_at", "n"], 25), tmp_path)
+    want, last = [], {}
+    for k, rows in enumerate(batches):
+        for i, n, t in sorted(rows, key=lambda r: (r[2], r[1])):
+            if i not in last or (t - last[i]).total_seconds() >= 25:
+                last[i] = t
+                want.append((k, i, n, t))
+    assert sorted(r[:3] for r in found) == sorted(w[:3] for w in want)
+    assert 0 < max(s.numRowsTotal for s in states) <= 4
