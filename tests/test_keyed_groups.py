@@ -2,7 +2,9 @@
 
 import random
 
-from test_keyed import at, feed
+from pyspark.sql import functions as F
+
+from test_keyed import ROWS, at, feed
 from tidemark.streaming import keyed, sinks
 
 
@@ -45,3 +47,30 @@ def test_expiring_ids_share_their_state(spark, tmp_path, monkeypatch):
                 want.append((k, i, n, t))
     assert sorted(r[:3] for r in found) == sorted(w[:3] for w in want)
     assert 0 < max(s.numRowsTotal for s in states) <= 4
+
+
+def test_waiting_messages_share_entries_and_timers(spark, tmp_path, monkeypatch):
+    """Messages of one id and of many, equal ones among them, leave in the first batch whose clock has reached them."""
+    monkeypatch.setattr(keyed, "GROUPS", 2)
+    rng = random.Random(13)
+    batches = [[(rng.choice(["hot", f"k{n}"]), rng.choice([1, 2, 3, 9]), at(100 * k + rng.randrange(100))) for n in range(3000)] for k in range(3)]
+    batches.append([("end", 1, at(250)), ("end", 1, at(1000))])
+    done = keyed.retry_ladder(feed(spark, tmp_path / "in", batches), F.col("attempt") < F.col("n"), delays=(30, 40), lateness="20 seconds")
+    found, states = run(done, tmp_path)
+    want, clock = [], [float("-inf")]
+    for rows in batches:
+        clock.append(max(clock[-1], max((t - at(0)).total_seconds() for _, _, t in rows) - 20))
+    for k, rows in enumerate(batches):
+        for i, n, t in rows:
+            attempt, end = min(n, 3), (t - at(0)).total_seconds() + (0, 30, 70)[min(n, 3) - 1]
+            batch = k if n == 1 else next(b for b in range(k, len(clock)) if clock[b] >= end)
+            want.append((batch, i, n, attempt, "DEAD" if n > 3 else "OK", end))
+    assert sorted((b, i, n, a, s, (f - at(0)).total_seconds()) for b, i, n, _, a, s, f in found) == sorted(want)
+    assert 0 < max(s.numRowsTotal for s in states) <= 60
+
+
+def test_a_timeless_message_moves_no_clock(spark, tmp_path):
+    batches = [[("a", 2, at(0)), ("b", 1, None)], [("c", 1, at(5))], [("d", 1, at(500))]]
+    done = keyed.retry_ladder(feed(spark, tmp_path / "in", batches, ROWS), F.col("attempt") < F.col("n"), delays=(10,), lateness="0 seconds")
+    found, _ = run(done, tmp_path)
+    assert sorted(r[:2] for r in found) == [(1, "c"), (2, "d"), (3, "a")]
